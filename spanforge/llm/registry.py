@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ["media"]
+MODULES = ["media", "toxicity", "packing", "mixing", "quality"]
 
 
 def queries() -> dict:
