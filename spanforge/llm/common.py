@@ -34,18 +34,42 @@ def shared_dir(spark: SparkSession) -> str:
     return path
 
 
+#: Where Spark has it, internal writes drop their shuffle files as soon as they end.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def materialize(df: DataFrame, tag: str, partition_by: list[str] | None = None) -> DataFrame:
     """Write ``df`` as a Parquet table in the shared folder and read it back: lineage ends there,
     and the table survives lost executors."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/spanforge_{tag}_{uuid.uuid4().hex}"
     writer = df.write.option("compression", "zstd")
-    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
+    before = spark.conf.get(_CLEANUP, None)
+    if before is not None:
+        spark.conf.set(_CLEANUP, "true")
+    try:
+        (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
+    finally:
+        if before is not None:
+            spark.conf.set(_CLEANUP, before)
     out = spark.read.schema(df.schema).parquet(path)
     out._spanforge_path = path
     return out
 
 
+def by_partition(df: DataFrame, run, ddl: str) -> DataFrame:
+    """Apply ``run(table) -> iterator of record batches`` to each partition as one Arrow table. For rows that were
+    dealt by a key with a bound on what shares it, so that a partition is a task's ordinary share."""
+    import pyarrow as pa
+
+    def whole(batches):
+        got = [b for b in batches if b.num_rows]
+        if got:
+            yield from run(pa.Table.from_batches(got).combine_chunks())
+
+    return df.mapInArrow(whole, ddl)
+
+
 def discard(df: DataFrame) -> None:
     """Delete a table that ``materialize`` wrote, once nothing reads it any more."""
     path = getattr(df, "_spanforge_path", None)

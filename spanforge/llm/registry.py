@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ["media", "toxicity", "packing", "mixing", "quality"]
+MODULES = ["media", "toxicity", "packing", "mixing", "quality", "ngram_join"]
 
 
 def queries() -> dict:
