@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ["media", "toxicity", "packing", "mixing", "quality", "ngram_join", "line_dedup", "fingerprint"]
+MODULES = ["media", "toxicity", "packing", "mixing", "quality", "ngram_join", "line_dedup", "fingerprint", "language_model", "repeats"]
 
 
 def queries() -> dict:
