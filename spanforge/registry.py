@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from importlib import import_module
 
 QUERIES: dict[str, Callable] = {}
 ORACLE: dict[str, str] = {}
@@ -21,8 +22,10 @@ def query(name: str, oracle: str | None = None):
 
 
 def queries() -> dict[str, Callable]:
+    import_module(f"{__package__}.queries")
     return QUERIES
 
 
 def oracle_sql() -> dict[str, str]:
+    import_module(f"{__package__}.queries")
     return ORACLE
