@@ -197,7 +197,7 @@ def judge(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> DataFrame:
                 model.learn(np.frombuffer(at, "<i4"), np.frombuffer(value, "<f4").astype(float), known[p])
         yield pa.RecordBatch.from_arrays([pa.array([model.dense().tobytes()], pa.binary())], names=["w"])
 
-    got = sample.mapInArrow(extract, "key long, pattern int, at binary, value binary").coalesce(1).mapInArrow(train, "w binary").collect()
+    got = sample.mapInArrow(extract, "key long, pattern int, at binary, value binary").repartition(1).mapInArrow(train, "w binary").collect()
     weights = np.frombuffer(got[0].w, np.float32) if got else np.zeros(1 << BITS, np.float32)
     sent = spark.sparkContext.broadcast((weights, known))
 

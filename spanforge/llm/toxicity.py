@@ -92,7 +92,7 @@ def fit(sample: DataFrame, bits: int = BITS, epochs: int = EPOCHS, **rates: floa
         at, w = model.compact()
         yield pa.RecordBatch.from_arrays([pa.array([at.tobytes()], pa.binary()), pa.array([w.tobytes()], pa.binary())], names=["at", "w"])
 
-    got = sample.mapInArrow(extract, "key long, label double, x binary").coalesce(1).mapInArrow(train, "at binary, w binary").collect()
+    got = sample.mapInArrow(extract, "key long, label double, x binary").repartition(1).mapInArrow(train, "at binary, w binary").collect()
     return np.concatenate([np.frombuffer(r.at, np.int32) for r in got]), np.concatenate([np.frombuffer(r.w, np.float32) for r in got])
 
 
