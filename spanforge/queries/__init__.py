@@ -1,3 +1,3 @@
 """Queries over the driver's tables, each with its DuckDB oracle. Importing the modules registers them."""
 
-from . import classes, review, signals  # noqa: F401
+from . import classes, grids, review, signals  # noqa: F401

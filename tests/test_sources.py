@@ -101,3 +101,18 @@ def test_rolling_statistics_match_numpy(spark):
     for i in range(60):
         part = [x for x in v[max(0, i - 3) : i + 4] if x is not None]
         assert got[i] is None if not part else got[i] == pytest.approx(np.median(part))
+
+
+def test_small_tables(spark, tmp_path):
+    from spanforge.sources import tables
+
+    (tmp_path / "c.csv").write_text('index,mid,display_name\n0,/m/1,"Speech, male"\n')
+    (tmp_path / "m.json").write_text('{"Speech": "voice"}')
+    (tmp_path / "r1.json").write_text('{"duration": 5.0, "segments": [{"start": 0, "end": 2.5, "type": "speech"}], "sfx_events": [{"start": 1, "end": 2, "type": "sfx"}]}')
+    assert tables.classes(spark, str(tmp_path / "c.csv")).first().display_name == "Speech, male"
+    assert tables.category_map(spark, str(tmp_path / "m.json")).first().category == "voice"
+    got = tables.timelines(spark, str(tmp_path / "r1.json"))
+    assert sorted((r.recording_id, r.kind, r.start_sec, r.end_sec) for r in got.collect()) == [("r1", "segment", 0.0, 2.5), ("r1", "sfx", 1.0, 2.0)]
+    tables.write_timeline(got, str(tmp_path / "out"), 5.0)
+    assert spark.read.json(str(tmp_path / "out")).first().segments[0].end == 2.5
+    assert tables.sessions(spark, str(tmp_path / "m.json")).first().body.startswith("{")
