@@ -6,7 +6,7 @@ DataFrame and SQL functions only. Terms are the words of ``lower(text)``, weight
 value is ln a = ln c - r (t - beta + 1), and the sample is the term and t of the least value. A value and its term's hash bits
 are packed into one long, so that a sample is a plain ``min`` that Spark aggregates without a sort.
 
-Scale: texts are dealt once, by runs of ``RUN`` consecutive ids; words are exploded, counted and sampled in the task that holds
+Scale: texts are dealt once, by runs of 2**``RUN_BITS`` consecutive ids; words are exploded, counted and sampled in the task that holds
 their document, with no exchange between. A document's successor comes from its run, or for a run's last document from
 the next run's first; run tables are walked in levels, so that no window holds more than a bounded part of the ids.
 
@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from .common import documents, materialize
 
-SAMPLES, RUN = 32, 128
+SAMPLES, RUN_BITS = 32, 7
 SPACE = r"[\x20\x09-\x0D]+"
 
 
@@ -65,8 +65,8 @@ def likeness(a: Column, b: Column, samples: int = SAMPLES) -> Column:
 
 def _next_run(runs: DataFrame) -> DataFrame:
     """(run, next_run): the next lower run, for the lowest the highest. Windows over groups of 2**16 runs; the last one is over the
-    groups alone (one row per 2**16 * RUN ids)."""
-    runs = runs.withColumn("grp", F.floor(F.col("run") / 65536))
+    groups alone (one row per 2**(16 + RUN_BITS) ids)."""
+    runs = runs.withColumn("grp", F.shiftright("run", 16))
     inside = Window.partitionBy("grp").orderBy(F.col("run").desc())
     runs = runs.withColumn("next_run", F.lead("run").over(inside))
     tops = runs.groupBy("grp").agg(F.max("run").alias("top"))
@@ -77,7 +77,7 @@ def _next_run(runs: DataFrame) -> DataFrame:
 
 def successors(docs: DataFrame) -> DataFrame:
     """run, doc_id, text, next_id, next_text: the next document in descending order of doc_id."""
-    rows = docs.filter("doc_id is not null").select(F.floor(F.col("doc_id") / RUN).alias("run"), F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    rows = docs.filter("doc_id is not null").select(F.shiftright(F.col("doc_id").cast("long"), RUN_BITS).alias("run"), F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     inside = Window.partitionBy("run").orderBy(F.col("doc_id").desc(), "text")
     rows = rows.withColumns({"next_id": F.lead("doc_id").over(inside), "next_text": F.lead("text").over(inside), "n": F.row_number().over(inside)})
     first = rows.filter("n = 1").select(F.col("run").alias("next_run"), F.col("doc_id").alias("first_id"), F.col("text").alias("first_text"))
