@@ -70,6 +70,34 @@ def by_partition(df: DataFrame, run, ddl: str) -> DataFrame:
     return df.mapInArrow(whole, ddl)
 
 
+class BitFilter:
+    """A one-hash Bloom filter of bounded size over a long column, built by an aggregation: it drops most rows that a
+    following semi join would drop, before they are shuffled. ``MAX_BITS`` bounds what is broadcast; a fuller filter only passes more."""
+
+    MAX_BITS = 1 << 25
+
+    def __init__(self, ids: DataFrame, column: str):
+        n = ids.count()
+        self.bits = max(1 << 12, min(self.MAX_BITS, 1 << max(n * 16, 1).bit_length()))
+        h = F.pmod(self._hash(F.col(column)), F.lit(self.bits))
+        rows = ids.select(h.alias("h")).groupBy(F.shiftright("h", 6).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(h & 63 as int))")).alias("b")).collect()
+        words = np.zeros(self.bits >> 6, np.int64)
+        if rows:
+            words[np.array([r.w for r in rows])] = np.array([r.b for r in rows], np.int64)
+        self.sent = ids.sparkSession.sparkContext.broadcast(words.view(np.uint64))
+
+    @staticmethod
+    def _hash(c):
+        return F.xxhash64(c)
+
+    def column(self, df: DataFrame, column: str) -> DataFrame:
+        """``df`` with ``_slot``: where a value's bit is."""
+        return df.withColumn("_slot", F.pmod(self._hash(F.col(column)), F.lit(self.bits)))
+
+    def passes(self, slots: np.ndarray) -> np.ndarray:
+        return (self.sent.value[slots >> 6] >> (slots & 63).astype(np.uint64)) & np.uint64(1) > 0
+
+
 def discard(df: DataFrame) -> None:
     """Delete a table that ``materialize`` wrote, once nothing reads it any more."""
     path = getattr(df, "_spanforge_path", None)

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import by_partition, distinct, documents, materialize, mix64, shingle_hashes, signed, word_hashes
+from .common import BitFilter, by_partition, discard, distinct, documents, materialize, mix64, shingle_hashes, signed, word_hashes
 from .graph import components
 
 WORDS, PERCENT, BLOCK = 4, 85, 512
@@ -193,15 +193,19 @@ def _bounded(pairs: DataFrame, info: DataFrame, percent: int) -> DataFrame:
 def _verified(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
     """Pairs (a, b) of nodes whose whole sets are similar enough."""
     pairs = materialize(pairs, "pairs")
-    nodes = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
+    nodes = materialize(pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct(), "nodes")
+    wanted = BitFilter(nodes, "node")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            x = [shingle_hashes(word_hashes(t), words).tobytes() for t in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(x, pa.binary())], names=["node", "set"])
+            b = b.filter(pa.array(wanted.passes(b.column(2).to_numpy())))
+            for at in range(0, b.num_rows, 1000):
+                part = b.slice(at, 1000)
+                x = [shingle_hashes(word_hashes(t), words).tobytes() for t in part.column(1).to_pylist()]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(x, pa.binary())], names=["node", "set"])
 
-    got = _plain(docs).join(nodes, "doc_id", "left_semi").dropDuplicates(["doc_id"]).mapInArrow(read, "node long, set binary")
-    got = materialize(got, "sets")
+    got = wanted.column(_plain(docs).filter("doc_id is not null"), "doc_id").mapInArrow(read, "node long, set binary")
+    got = materialize(got.join(nodes, "node", "left_semi").dropDuplicates(["node"]), "sets")
     both = pairs.join(got.select(F.col("node").alias("a"), F.col("set").alias("x")), "a").join(got.select(F.col("node").alias("b"), F.col("set").alias("y")), "b").select("a", "b", "x", "y")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -213,7 +217,10 @@ def _verified(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> Da
                 ok.append(100 * both >= percent * (len(x) + len(y) - both))
             yield pa.RecordBatch.from_arrays([c.filter(pa.array(ok, pa.bool_())) for c in t.columns[:2]], names=["a", "b"])
 
-    return materialize(both.mapInArrow(run, "a long, b long"), "links")
+    links = materialize(both.mapInArrow(run, "a long, b long"), "links")
+    for done in (pairs, nodes, got):
+        discard(done)
+    return links
 
 
 def _residual(buckets: DataFrame, comp: DataFrame, info: DataFrame, percent: int) -> DataFrame:
@@ -261,8 +268,11 @@ def join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFra
     links = _verified(_bounded(star, heads, percent), docs, words, percent)
     comp = materialize(components(links), "components")
     more = _verified(_residual(buckets, comp, heads, percent), docs, words, percent)
+    discard(buckets)
     if not more.isEmpty():
-        comp = components(links.unionByName(more))
+        comp = materialize(components(links.unionByName(more)), "components")
+    discard(links)
+    discard(more)
     rows = info.alias("i").join(heads.select("k1", "k2", "n", F.col("node").alias("set_id")), ["k1", "k2", "n"], "left")
     rows = rows.join(comp.withColumnRenamed("node", "set_id"), "set_id", "left")
     set_id = F.when(F.col("doc_id").isNotNull(), F.when(F.col("n") > 0, F.col("set_id")).otherwise(F.col("doc_id")))
