@@ -11,9 +11,12 @@ order need be built only where it can matter:
 
 1. Triggers are dealt by their hash and sorted by (trigger, context, position). A later occurrence of the same context is
    a repeat: all its windows go. A trigger with one context cannot start a match elsewhere: its first occurrence stays.
-2. Only first occurrences of contexts whose trigger has other contexts are undecided (edges of repeats). Their
-   windows are hashed, dealt by hash and sorted by position; all but the first go.
-3. Documents with decisions are read again, and the covered bytes are dropped.
+2. Only first occurrences of contexts whose trigger has other contexts are undecided (edges of repeats). Their windows are
+   taken in ranges of ``WIDTH`` neighbours: what all windows of a range share is a longer trigger, what they reach a shorter
+   context, and step 1 decides most ranges.
+3. Windows of ranges that are still undecided are hashed one by one, dealt by hash and sorted by position; all but the
+   first go.
+4. Documents with decisions are read again, and the covered bytes are dropped.
 
 Scale: one row per trigger (two in ``LENGTH - GRAM`` bytes on average) and per undecided window is shuffled, never a row per byte;
 inside a task, repeats of a row it already has are decided there and dealt evenly, so a hot passage or group of copies puts
@@ -34,9 +37,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import by_partition, documents, materialize, mix64, signed
+from .common import by_partition, discard, documents, materialize, mix64, signed
 
-LENGTH, GRAM = 100, 24
+LENGTH, GRAM, WIDTH = 100, 24, 11
 _BASE = 0x9E3779B97F4A7C15
 _BYTE = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95))
 _POWERS = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
@@ -154,21 +157,59 @@ def _judge_triggers(rows: DataFrame) -> DataFrame:
     return by_partition(rows.repartition("key"), run, "doc_id long, pos long, kind int")
 
 
-def _window_rows(docs: DataFrame, length: int, gram: int) -> DataFrame:
-    """Hashes of the windows of undecided triggers; docs: doc_id, text, undecided (trigger positions)."""
+def _open_windows(text: Text, undecided: list[int], length: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
+    """(starts, triggers) of the windows of undecided triggers."""
+    owner, _ = text.triggers(length, gram)
+    s = np.flatnonzero(np.isin(owner, np.array(undecided, np.int64)))
+    return s, owner[s]
+
+
+def _ranges(text: Text, undecided: list[int], length: int, gram: int, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(place, hash of what a range's windows share, hash of what they reach); place is trigger * 128 + range."""
+    s, p = _open_windows(text, undecided, length, gram)
+    place = np.unique(p * 128 + (p - s) // width)
+    p, r = place >> 7, place & 127
+    near, far = r * width, np.minimum((r + 1) * width, length - gram + 1) - 1  # least and largest offset of the trigger
+    shared = mix64(text.hashes(p - near, p - far + length) ^ r.astype(np.uint64))
+    lo, hi = np.maximum(p - far, 0), np.minimum(p - near + length, text.n)
+    return place, shared, mix64(text.hashes(lo, hi) ^ ((p - lo).astype(np.uint64) << np.uint64(32)) ^ (hi - lo).astype(np.uint64))
+
+
+def _range_rows(docs: DataFrame, length: int, gram: int, width: int) -> DataFrame:
+    """Rows of the ranges of undecided triggers; docs: doc_id, text, undecided (trigger positions)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
+            for at in range(0, batch.num_rows, 2000):
+                got = [[], [], [], []]
+                for d, t, open_ in zip(*(c.to_pylist() for c in batch.slice(at, 2000).columns), strict=True):
+                    data = t.encode("utf-8", "surrogatepass")
+                    if len(data) >= length:
+                        place, a, b = _ranges(Text(data), open_, length, gram, width)
+                        for column, v in zip(got, (a, b, np.full(len(place), d), place), strict=True):
+                            column.append(v)
+                if got[0]:
+                    yield _combined(*map(np.concatenate, got))
+
+    return docs.mapInArrow(run, _DDL)
+
+
+def _window_rows(docs: DataFrame, length: int, gram: int, width: int) -> DataFrame:
+    """Hashes of the windows of undecided ranges; docs: doc_id, text, undecided (places)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 2000):
                 got = [[], [], [], []]
-                for d, t, open_ in zip(*(c.to_pylist() for c in batch.slice(at, 1000).columns), strict=True):
+                for d, t, open_ in zip(*(c.to_pylist() for c in batch.slice(at, 2000).columns), strict=True):
                     data = t.encode("utf-8", "surrogatepass")
                     if len(data) < length:
                         continue
-                    text = Text(data)
-                    owner, h = text.triggers(length, gram)
-                    s = np.flatnonzero(np.isin(owner, np.array(open_, np.int64)))
-                    for column, v in zip(got, (text.hashes(s, s + length), h[owner[s]], np.full(len(s), d), s), strict=True):
+                    text, places = Text(data), np.array(open_, np.int64)
+                    s, p = _open_windows(text, np.unique(places >> 7), length, gram)
+                    keep = np.isin(p * 128 + (p - s) // width, places)
+                    s, p = s[keep], p[keep]
+                    for column, v in zip(got, (text.hashes(s, s + length), (p - s).astype(np.uint64), np.full(len(s), d), s), strict=True):
                         column.append(v)
                 if got[0]:
                     yield _combined(*map(np.concatenate, got))
@@ -191,22 +232,23 @@ def _judge_windows(rows: DataFrame) -> DataFrame:
     return by_partition(rows.repartition("key"), run, "doc_id long, pos long")
 
 
-def _cut(docs: DataFrame, length: int, gram: int) -> DataFrame:
-    """doc_id, n_removed, n_spans, kept (binary); docs: doc_id, text, repeated (trigger positions), windows (starts)."""
+def _cut(docs: DataFrame, length: int, gram: int, width: int) -> DataFrame:
+    """doc_id, n_removed, n_spans, kept (binary); docs: doc_id, text, repeated (trigger positions), ranges (places), windows (starts)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
                 rows = []
-                for d, t, repeated, windows in zip(*(c.to_pylist() for c in batch.slice(at, 1000).columns), strict=True):
+                for d, t, repeated, ranges, windows in zip(*(c.to_pylist() for c in batch.slice(at, 1000).columns), strict=True):
                     data = t.encode("utf-8", "surrogatepass")
                     if len(data) < length:
                         rows.append((d, 0, 0, data))
                         continue
                     gone = np.zeros(len(data) - length + 1, bool)
-                    if repeated:
+                    if repeated or ranges:
                         owner, _ = Text(data).triggers(length, gram)
-                        gone |= np.isin(owner, np.array(repeated, np.int64))
+                        gone |= np.isin(owner, np.array(repeated or [], np.int64))
+                        gone |= np.isin(owner * 128 + (owner - np.arange(len(owner))) // width, np.array(ranges or [], np.int64))
                     gone[np.array(windows or [], np.int64)] = True
                     edge = np.zeros(len(data) + 1, np.int64)
                     edge[:-length] += gone
@@ -220,22 +262,36 @@ def _cut(docs: DataFrame, length: int, gram: int) -> DataFrame:
     return docs.mapInArrow(run, "doc_id long, n_removed long, n_spans long, kept binary")
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
+def _by_document(judged: DataFrame) -> DataFrame:
+    """doc_id, repeated, undecided: the judged places of each document."""
+    at = lambda kind: F.collect_list(F.when(F.col("kind") == kind, F.col("pos")))
+    return judged.groupBy("doc_id").agg(at(1).alias("repeated"), at(2).alias("undecided"))
+
+
+def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, width: int = WIDTH) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 for every row."""
     plain = _plain(docs)
     facts = materialize(plain.select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("sha")), "texts")
     firsts = facts.filter(f"n_bytes >= {length} and doc_id is not null").groupBy("sha").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     copies = materialize(facts.join(firsts, "sha").filter("doc_id > first").select("doc_id", "sha").distinct(), "copies")
 
-    judged = materialize(_judge_triggers(_trigger_rows(docs, length, gram)), "triggers").join(copies.select("doc_id"), "doc_id", "left_anti")
-    at = lambda kind: F.collect_list(F.when(F.col("kind") == kind, F.col("pos")))
-    flags = materialize(judged.groupBy("doc_id").agg(at(1).alias("repeated"), at(2).alias("undecided")), "flags")
-    open_ = flags.filter(F.size("undecided") > 0).select("doc_id", "undecided")
-    windows = _judge_windows(_window_rows(plain.join(open_, "doc_id").select("doc_id", "text", "undecided"), length, gram))
+    triggers = materialize(_judge_triggers(_trigger_rows(docs, length, gram)), "triggers")
+    flags = materialize(_by_document(triggers.join(copies.select("doc_id"), "doc_id", "left_anti")), "flags")
+    discard(triggers)
+
+    def with_text(rows: DataFrame) -> DataFrame:
+        return plain.join(rows.filter(F.size("undecided") > 0).select("doc_id", "undecided"), "doc_id").select("doc_id", "text", "undecided")
+
+    ranges = materialize(_by_document(_judge_triggers(_range_rows(with_text(flags), length, gram, width))), "ranges")
+    windows = _judge_windows(_window_rows(with_text(ranges), length, gram, width))
     windows = materialize(windows.groupBy("doc_id").agg(F.collect_list("pos").alias("windows")), "windows")
-    cuts = flags.filter(F.size("repeated") > 0).select("doc_id", "repeated").join(windows, "doc_id", "full")
-    cut = _cut(plain.join(cuts, "doc_id").select("doc_id", "text", "repeated", "windows"), length, gram)
+    repeated = flags.filter(F.size("repeated") > 0).select("doc_id", "repeated")
+    cuts = repeated.join(ranges.filter(F.size("repeated") > 0).select("doc_id", F.col("repeated").alias("ranges")), "doc_id", "full").join(windows, "doc_id", "full")
+    cut = _cut(plain.join(cuts, "doc_id").select("doc_id", "text", "repeated", "ranges", "windows"), length, gram, width)
     cut = cut.select("doc_id", F.col("n_removed").alias("cut"), F.col("n_spans").alias("spans"), F.sha2("kept", 256).alias("kept_sha")).dropDuplicates(["doc_id"])
+    cut = materialize(cut, "cuts")
+    for done in (flags, ranges, windows):
+        discard(done)
     out = facts.join(cut, "doc_id", "left").join(copies.select("doc_id", F.col("sha"), F.lit(True).alias("copy")), ["doc_id", "sha"], "left")
     copy = F.coalesce("copy", F.lit(False))
     return out.select(
