@@ -2,8 +2,9 @@
 
 DataFrame and SQL functions only. A line is compared as ``lower(trim(line))`` if that has at least ``MIN_BYTES`` bytes; its
 shingles are the distinct ``SHINGLE``-byte windows of its UTF-8 form (characters, for ASCII text). Equal lines are one
-node, the position (doc_id, line_no) of the first. ``BANDS`` x ``ROWS`` minima of the shingle hashes under xor masks
-(each mask ranks the hashes anew) give the band keys; lines that share a band key link to the first of them and, to bridge
+node, the position (doc_id, line_no) of the first. The signature is one-permutation MinHash: a shingle's hash names one of
+``BINS`` bins, each bin keeps its least hash in two orders (the second under an xor mask), and an empty bin borrows from the
+next. ``BANDS`` bands of ``ROWS`` minima give the band keys; lines that share a band key link to the first of them and, to bridge
 links that do not pass through the first, to the previous one in the order of another minimum; links whose exact
 Jaccard similarity is at least ``PERCENT`` / 100 are kept, and one line per component stays: the one at the smallest
 position.
@@ -26,22 +27,17 @@ from pyspark.sql import functions as F
 from .common import discard, documents, materialize
 from .graph import components
 
-SHINGLE, BANDS, ROWS, PERCENT, MIN_BYTES = 10, 8, 4, 80, 24
+SHINGLE, BINS, BANDS, ROWS, PERCENT, MIN_BYTES = 10, 16, 8, 4, 80, 24
+MASK = 0x3C6EF372FE94F82A
 
 
 def _norm(line: Column) -> Column:
     return F.lower(F.trim(line))
 
 
-def _masks(n: int) -> list[int]:
-    """n 64-bit xor masks from a fixed rule (splitmix steps)."""
-    out, x = [], 0x1234567
-    for _ in range(n):
-        x = (x + 0x9E3779B97F4A7C15) & (2**64 - 1)
-        z = ((x ^ x >> 30) * 0xBF58476D1CE4E5B9) & (2**64 - 1)
-        z = ((z ^ z >> 27) * 0x94D049BB133111EB) & (2**64 - 1)
-        out.append((z ^ z >> 31) - 2**63)
-    return out
+def _place(doc_id: Column, line_no: Column) -> Column:
+    """A position as one ordered number, so that its least is combined before the shuffle."""
+    return doc_id.cast("decimal(20,0)") * F.lit(2**31).cast("decimal(11,0)") + line_no
 
 
 def lines(docs: DataFrame) -> DataFrame:
@@ -57,20 +53,27 @@ def _shingles(n: Column) -> Column:
 
 def removed_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(doc_id, line_no) of every line that another line of its component replaces."""
-    at = lines(docs)
-    # one node per distinct line: its smallest position, as one ordered number so that the sum is combined before the shuffle
-    place = F.col("doc_id").cast("decimal(20,0)") * F.lit(2**31).cast("decimal(11,0)") + F.col("line_no")
-    nodes = at.groupBy("h1", "h2").agg(F.min(place).alias("place"), F.count(F.lit(1)).alias("n"))
-    nodes = materialize(nodes.select("h1", "h2", "place", "n"), "line_nodes")
+    every = lines(docs)
+    at = materialize(every.drop("norm"), "lines")
+    # one node per distinct line: its smallest position
+    nodes = at.groupBy("h1", "h2").agg(F.min(_place(F.col("doc_id"), F.col("line_no"))).alias("place"), F.count(F.lit(1)).alias("n"))
+    doc = F.floor(F.col("place") / F.lit(2**31).cast("decimal(11,0)")).cast("long")
+    nodes = materialize(nodes.select("h1", "h2", "place", "n", doc.alias("doc_id"), F.pmod("place", F.lit(2**31).cast("decimal(11,0)")).cast("int").alias("line_no")), "line_nodes")
 
     # signatures where the node's text is: explode, hash and aggregate without a further exchange
-    text = at.withColumn("place", place).join(nodes.select("place", F.col("h1").alias("g1"), F.col("h2").alias("g2")), "place")
-    text = text.filter("h1 = g1 and h2 = g2").select("place", F.encode("norm", "utf-8").alias("bytes"))
-    hashed = text.select("place", "bytes", F.explode(_shingles(F.octet_length("bytes"))).alias("i")).select("place", F.xxhash64(F.substring("bytes", F.col("i"), F.lit(SHINGLE))).alias("h"))
-    masks = _masks(BANDS * ROWS)
-    minima = hashed.groupBy("place").agg(*[F.min(F.col("h").bitwiseXOR(F.lit(m))).alias(f"m{i}") for i, m in enumerate(masks)])
-    keys = [F.xxhash64(F.lit(b), *[F.col(f"m{b * ROWS + r}") for r in range(ROWS)]) for b in range(BANDS)]
-    signed = materialize(minima.select("place", F.col("m0").alias("rank"), F.array(*keys).alias("keys")), "line_signatures")
+    key = ["doc_id", "line_no"]
+    own = nodes.select(*key, F.col("h1").alias("g1"), F.col("h2").alias("g2"))
+    text = every.join(own, key).filter("h1 = g1 and h2 = g2").select(*key, F.encode("norm", "utf-8").alias("bytes"))
+    hashed = text.select(*key, "bytes", F.explode(_shingles(F.octet_length("bytes"))).alias("i")).select(*key, F.xxhash64(F.substring("bytes", F.col("i"), F.lit(SHINGLE))).alias("h"))
+    least = hashed.groupBy(*key, F.shiftrightunsigned("h", 60).cast("int").alias("bin")).agg(F.min("h").alias("x"), F.min(F.col("h").bitwiseXOR(F.lit(MASK))).alias("y"))
+    per = [F.max(F.when(F.col("bin") == i, F.col(c))) for i in range(BINS) for c in ("x", "y")]
+    full = least.groupBy(*key).agg(*[c.alias(f"m{i}") for i, c in enumerate(per)])
+    minima = full.select(*key, F.array(*[F.col(f"m{i}") for i in range(2 * BINS)]).alias("m"))
+    lend = lambda x, i: F.coalesce(x, F.xxhash64(F.get(F.filter(F.concat(F.slice("m", i + 2, F.lit(2 * BINS)), F.slice("m", F.lit(1), i)), lambda y: y.isNotNull()), 0), i))
+    dense = F.when(F.exists("m", lambda x: x.isNull()), F.transform("m", lend)).otherwise(F.col("m"))
+    minima = minima.select(_place(F.col("doc_id"), F.col("line_no")).alias("place"), dense.alias("m"))
+    keys = [F.xxhash64(F.lit(b), F.slice("m", b * ROWS + 1, ROWS)) for b in range(BANDS)]
+    signed = materialize(minima.select("place", F.col("m")[0].alias("rank"), F.array(*keys).alias("keys")), "line_signatures")
 
     # only keys that several lines share; a star to the first line and a chain by another minimum
     band = signed.select("place", "rank", F.explode("keys").alias("key"))
@@ -81,13 +84,16 @@ def removed_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     chain = member.withColumn("part", parts).withColumn("other", F.lag("place").over(Window.partitionBy("key", "part").orderBy("rank", "place"))).filter("other is not null").select("place", "other")
     pairs = materialize(star.unionByName(chain).select(F.least("place", "other").alias("a"), F.greatest("place", "other").alias("b")).distinct(), "line_pairs")
     discard(member)
-    links = materialize(_verify(pairs, at.withColumn("place", place), percent), "line_links")
+    links = _verify(pairs, every.withColumn("place", _place(F.col("doc_id"), F.col("line_no"))), percent)
     comp = components(links)
 
     # where each distinct line's component is kept
     kept = nodes.join(comp.withColumnRenamed("node", "place"), "place", "left").select("h1", "h2", F.coalesce("component", "place").alias("kept"), "n", "place").filter("n > 1 or kept <> place").select("h1", "h2", "kept")
-    gone = at.select("doc_id", "line_no", "h1", "h2", place.alias("place")).join(kept, ["h1", "h2"]).filter("place <> kept")
-    return gone.select("doc_id", "line_no")
+    gone = at.select("doc_id", "line_no", "h1", "h2", _place(F.col("doc_id"), F.col("line_no")).alias("place")).join(kept, ["h1", "h2"]).filter("place <> kept")
+    gone = materialize(gone.select("doc_id", "line_no"), "line_gone")
+    for done in (at, nodes, signed, pairs, links):
+        discard(done)
+    return gone
 
 
 def _verify(pairs: DataFrame, at: DataFrame, percent: int) -> DataFrame:
@@ -99,7 +105,10 @@ def _verify(pairs: DataFrame, at: DataFrame, percent: int) -> DataFrame:
     sets = got.select("place", shingles.alias("set"))
     both = pairs.join(sets.select(F.col("place").alias("a"), F.col("set").alias("x")), "a").join(sets.select(F.col("place").alias("b"), F.col("set").alias("y")), "b")
     common = F.size(F.array_intersect("x", "y"))
-    return both.withColumn("common", common).filter(F.col("common") * 100 >= percent * (F.size("x") + F.size("y") - F.col("common"))).select("a", "b")
+    alike = both.withColumn("common", common).filter(F.col("common") * 100 >= percent * (F.size("x") + F.size("y") - F.col("common")))
+    links = materialize(alike.select("a", "b"), "line_links")
+    discard(got)
+    return links
 
 
 def dedup(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
