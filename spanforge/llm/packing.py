@@ -29,25 +29,47 @@ TOKENIZER = "word_bpe_49k.json"
 
 
 class WordIds(dict):
-    """word bytes -> its ids as little-endian uint32 bytes. The tokenizer never joins across ASCII white space, so a
-    text's ids are those of its words in turn; ``limit`` bounds the kept words."""
+    """word bytes (ASCII lower case) -> its ids as little-endian uint32 bytes.
 
-    def __init__(self, path: str, limit: int = 250_000):
+    The tokenizer lower-cases and never joins across ASCII white space, so a text's ids are those of its words in turn. New words
+    are encoded many to a call, with a control character between them whose id no word contains; words with
+    that character are encoded alone. ``limit`` bounds the kept words: the older half goes first."""
+
+    MARK = "\x01"
+
+    def __init__(self, path: str, limit: int = 600_000):
         super().__init__()
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.limit = limit
+        mark = self.tokenizer.encode(self.MARK, add_special_tokens=False).ids
+        self.mark = mark[0] if len(mark) == 1 else None
+
+    def _ids(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def learn(self, words: set[bytes]) -> None:
         new = [w for w in words if w not in self]
         if len(self) + len(new) > self.limit:
-            self.clear()
-            new = list(words)
-        if new:
-            got = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in new], add_special_tokens=False)
-            for w, e in zip(new, got, strict=True):
-                self[w] = np.array(e.ids, dtype="<u4").tobytes()
+            old = [w for w in list(self)[: self.limit // 2] if w not in words]
+            for w in old:
+                del self[w]
+        plain = [w.decode("utf-8", "replace") for w in new]
+        for at in range(0, len(new), 256):
+            part = plain[at : at + 256]
+            if self.mark is not None and not any(self.MARK in w for w in part):
+                ids = np.array(self._ids([f" {self.MARK} ".join(part)])[0], dtype="<u4")
+                cut = np.flatnonzero(ids == self.mark)
+                if len(cut) == len(part) - 1:
+                    raw = ids.tobytes()
+                    lo = np.r_[0, cut + 1] * 4
+                    hi = np.r_[cut, len(ids)] * 4
+                    for w, i, j in zip(new[at : at + 256], lo.tolist(), hi.tolist(), strict=True):
+                        self[w] = raw[i:j]
+                    continue
+            for w, x in zip(new[at : at + 256], self._ids(part), strict=True):
+                self[w] = np.array(x, dtype="<u4").tobytes()
 
 
 _IDS: dict[str, WordIds] = {}
@@ -65,7 +87,7 @@ def word_ids(path: str) -> WordIds:
 def tokenize(texts: list[str | None], path: str, end_id: int = END_ID) -> list[bytes]:
     """Each text's ids and the end id, as little-endian uint32 bytes."""
     ids = word_ids(path)
-    split = [(t or "").encode("utf-8", "surrogatepass").split() for t in texts]
+    split = [(t or "").encode("utf-8", "surrogatepass").lower().split() for t in texts]
     end = np.array([end_id], dtype="<u4").tobytes()
     out = []
     for at in range(0, len(split), 64):
