@@ -1,18 +1,20 @@
 """Language-model scoring by a probabilistic suffix tree over words.
 
-States are word contexts of up to two words. A context is a candidate if its share of the training tokens is at least
-``P_CONTEXT``; it is kept if its next-symbol distribution diverges from its suffix's by at least ``MIN_DIVERGENCE`` nats. A
-state stores the next symbols whose joint share is at least ``P_JOINT``, with ``DISCOUNT`` taken off each count; what is
+States are word contexts. A context is a candidate if it occurs at least ``MIN_CONTEXT`` times in the training corpus; it is a
+state if its next-symbol distribution diverges from its suffix's by at least ``MIN_DIVERGENCE`` nats, or if it is a suffix of a
+state. A state stores the next symbols seen at least ``MIN_NEXT`` times after it, with ``DISCOUNT`` taken off each count; what is
 left goes to its suffix, down to the root, the add-one unigram distribution (the base). Every position is scored by the
-longest suffix of its history that is a state.
+longest suffix of its history that is a state. Depth follows the data: a context is extended to the left while several
+symbols follow it and it or its suffix diverges; counting ends when nothing is left to extend. So a longer context is missed
+only if two lengths in a row before it added nothing.
 
-Scale: unigrams, pairs and triples are counted over the whole training corpus; each task combines its own rows before
-they are shuffled. The tree is bounded by its parameters (at most 1 / P_CONTEXT states and 1 / P_JOINT stored symbols a
-level, whatever the corpus), so it is broadcast. Counts of words below P_JOINT are not: a document's rare words
-are shuffled to the unigram table instead (no hot keys: frequent words are known in the task). A rare word is stored in
-no state, so its probability is its root probability times back-off factors that the task knows, and both scores are sums.
+Scale: every level is counted over the whole training corpus; each task combines its own rows before they are shuffled.
+States and stored symbols are distributed tables. As the tree is closed under suffixes, a text's score is a sum of one number
+per word sequence in it (``_values``). Those of sequences of at least ``P_JOINT`` of the training tokens (at most 1 / P_JOINT a
+length) are broadcast, so no join key is hot; all others are joined, after a bit filter of bounded size dropped most sequences
+that have none.
 
-Defined results: null text = empty text = the end token alone; words are compared by a 64-bit hash; without training
+Defined results: null text = empty text = the end token alone; words and sequences are compared by a 64-bit hash; without training
 documents all counts are 0 (base log10(1 / 1) per token with N = V = 0); rows with a null doc_id are scored and train; rows
 that repeat a doc_id are scored each on its own.
 """
@@ -23,12 +25,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import crc_mod, documents, materialize, signed, word_hashes
+from .common import crc_mod, discard, documents, materialize, signed, word_hashes
 
-P_CONTEXT, P_JOINT, DISCOUNT, MIN_DIVERGENCE = 1e-4, 3e-6, 0.5, 0.02
+#: Counts and divergence that the tree is made by.
+MIN_CONTEXT, MIN_NEXT, DISCOUNT, MIN_DIVERGENCE = 8, 2, 0.5, 0.02
+#: Shares of the training tokens from which a context or a sequence is broadcast; they decide where a number is looked up, not what it is.
+P_CONTEXT, P_JOINT = 1e-4, 3e-6
 #: Hash of the end token: the empty word, which no text has.
 END = np.uint64(0x2D06800538D394C2)
 
@@ -71,8 +76,8 @@ class Counter:
             yield pa.RecordBatch.from_arrays([pa.array(self.key[at : at + step]), pa.array(self.n[at : at + step])], names=["key", "n"])
 
 
-def _counted(train: DataFrame, keys_of, name: str, share: float = 0.0, total: int = 0) -> DataFrame:
-    """(key, n) over all training texts; keys_of(tokens of one text) gives int64 keys. With a share, only keys of at least that share."""
+def _counted(train: DataFrame, keys_of) -> DataFrame:
+    """(key, n) over all training texts; keys_of() gives a function from one text's tokens to int64 keys."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = Counter()
@@ -82,8 +87,7 @@ def _counted(train: DataFrame, keys_of, name: str, share: float = 0.0, total: in
                 counter.add(of(_tokens(t)))
         yield from counter.batches()
 
-    out = train.mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
-    return out.filter(F.col("n") >= share * total) if share else out
+    return train.mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
 
 
 def _find(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
@@ -94,40 +98,78 @@ def _find(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return np.where(table[at] == keys, at, -1)
 
 
+def _turn(x: np.ndarray) -> np.ndarray:
+    return (x << np.uint64(23)) | (x >> np.uint64(41))
+
+
+def _sequences(tokens: np.ndarray, n: int) -> np.ndarray:
+    """Keys of all sequences of n tokens, by their first position (a cyclic polynomial of the word hashes)."""
+    m = max(len(tokens) - n + 1, 0)
+    out = tokens[:m]
+    for i in range(1, n):
+        out = _turn(out) ^ tokens[i : i + m]
+    return out
+
+
+def _longer(context: Column, symbol: Column) -> Column:
+    """The key of a context's sequence with one more symbol; the same in a column as in ``_sequences``."""
+    return F.shiftleft(context, 23).bitwiseOR(F.shiftrightunsigned(context, 41)).bitwiseXOR(symbol)
+
+
+class KeyFilter:
+    """One bit per key's leading bits, of bounded size: a fuller filter only passes more."""
+
+    MAX_BITS = 27
+
+    def __init__(self, keys: DataFrame, column: str):
+        self.size = keys.count()
+        self.shift = 64 - max(12, min(self.MAX_BITS, (self.size * 16).bit_length()))
+        slot = F.shiftrightunsigned(column, self.shift)
+        got = keys.select(slot.alias("s")).groupBy(F.shiftright("s", 6).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(s & 63 as int))")).alias("b")).toArrow()
+        words = np.zeros(1 << (64 - self.shift - 6), np.uint64)
+        words[got.column("w").to_numpy()] = got.column("b").to_numpy().view(np.uint64)
+        self.words = words
+
+    def passes(self, keys: np.ndarray) -> np.ndarray:
+        slot = keys >> np.uint64(self.shift)
+        return (self.words[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63))) & np.uint64(1) > 0
+
+
 class Tree:
-    """The suffix tree as sorted arrays. Symbols are numbered; a state of two words is numbered after its pair."""
+    """What tasks know of the suffix tree: counts of frequent words, numbers of frequent sequences, a filter of the others; and
+    the frequent states of one and two words, to look into. Symbols are numbered; a state of two words is named by both."""
 
     def __init__(self, symbols: np.ndarray, counts: np.ndarray, total: int, vocabulary: int):
         self.symbols, self.counts = symbols, counts  # signed hashes in order, and their counts
         self.total, self.vocabulary = total, vocabulary
         self.z = total + vocabulary + 1
-        self.contexts = [np.zeros(0, np.int64), np.zeros(0, np.int64)]  # symbol numbers; pair keys
+        self.depth = 0
+        self.keys, self.values = np.zeros(0, np.int64), np.zeros(0)  # of frequent sequences, in order
+        self.others: KeyFilter | None = None
+        self.contexts = [np.zeros(0, np.int64), np.zeros(0, np.int64)]
         self.pairs = [np.zeros(0, np.int64), np.zeros(0, np.int64)]  # context number << 32 | symbol number
         self.logp = [np.zeros(0), np.zeros(0)]
         self.backoff = [np.zeros(0), np.zeros(0)]
-        self.pair_keys = np.zeros(0, np.int64)  # all stored pairs of the first level: symbol << 32 | symbol
 
     def root(self, symbol: np.ndarray) -> np.ndarray:
         return (self.counts[symbol] + 1.0) / self.z
 
-    def add_level(self, level: int, names: np.ndarray, totals: np.ndarray, keys: np.ndarray, counts: np.ndarray) -> np.ndarray:
-        """names, totals: candidate contexts in order and their counts; keys: index in names << 32 | symbol, in order. Keeps the
-        contexts that diverge; returns which."""
-        ctx, sym = keys >> 32, keys & 0xFFFFFFFF
-        seen = (counts - DISCOUNT) / totals[ctx]
-        left = 1 - np.bincount(ctx, weights=seen, minlength=len(names))
-        below = self.prob(level - 1, names[ctx] & 0xFFFFFFFF if level else None, sym)
-        p = seen + left[ctx] * below
-        rest = left * (1 - np.bincount(ctx, weights=below, minlength=len(names)))  # of symbols that are not stored: p = left * below
-        divergence = np.bincount(ctx, weights=p * np.log(p / below), minlength=len(names)) + rest * np.log(np.maximum(left, 1e-12))
-        keep = (divergence >= MIN_DIVERGENCE) & (left > 0)
-        number = np.cumsum(keep) - 1
-        ok = keep[ctx]
-        self.contexts[level] = names[keep]
-        self.pairs[level] = (number[ctx[ok]] << 32) | sym[ok]
-        self.logp[level] = np.log10(p[ok])
-        self.backoff[level] = np.log10(left[keep])
-        return keep
+    def add_level(self, level: int, rows: pa.Table) -> None:
+        """rows: context, symbol, suffix, p of frequent sequences of frequent states; what is left of a state is dealt like its suffix."""
+        context, symbol, suffix = (rows.column(c).to_numpy().astype(np.int64) for c in ("context", "symbol", "suffix"))
+        if level:
+            first = (context ^ suffix).view(np.uint64)
+            first = (first >> np.uint64(23)) | (first << np.uint64(41))
+            name = (_find(self.symbols, signed(first)) << 32) | _find(self.symbols, suffix)
+        else:
+            name = _find(self.symbols, context)
+        symbol, p = _find(self.symbols, symbol), rows.column("p").to_numpy()
+        below = self.prob(level - 1, name & 0xFFFFFFFF if level else None, symbol)
+        self.contexts[level], number = np.unique(name, return_inverse=True)
+        self.backoff[level] = np.log10((1 - np.bincount(number, weights=p)) / (1 - np.bincount(number, weights=below)))
+        key = (number << 32) | symbol
+        order = np.argsort(key)
+        self.pairs[level], self.logp[level] = key[order], np.log10(p)[order]
 
     def prob(self, level: int, context: np.ndarray | None, symbol: np.ndarray) -> np.ndarray:
         """P(symbol) in the state of each context at a level, else in its suffix."""
@@ -139,89 +181,160 @@ class Tree:
         return np.where(c < 0, below, np.where(at >= 0, 10 ** (self.logp[level][at] if len(self.logp[level]) else 0.0), 10 ** (self.backoff[level][c] if len(self.backoff[level]) else 0.0) * below))
 
     def score(self, tokens: np.ndarray) -> tuple[float, float, int, np.ndarray]:
-        """(log10 P, log10 base P, known) of what the tree knows, and the hashes of rare tokens, whose log10(c + 1) is still to be
-        added to both."""
+        """(log10 P, log10 base P, known) of what the task knows, and the keys whose numbers are still to be added: rare words
+        and sequences that pass the filter."""
         s = _find(self.symbols, signed(tokens))
         rare = s < 0
         per = np.where(rare, 0.0, np.log10(self.counts[s] + 1.0)) if len(self.counts) else np.zeros(len(s))
-        base = per - np.log10(self.z)
-        out = base.copy()
-        before = np.append([-1], s[:-1])
-        out = self._level(0, before, s, out, before >= 0)
-        if len(self.contexts[1]):
-            two = np.append([-1], before[:-1])
-            key = np.where((two >= 0) & (before >= 0), (two << 32) | before, -1)
-            out = self._level(1, key, s, out, key >= 0)
-        return float(out.sum()), float(base.sum()), int(np.count_nonzero(~rare & (self.counts[s] > 0))) if len(self.counts) else 0, tokens[rare]
-
-    def _level(self, level: int, context: np.ndarray, symbol: np.ndarray, below: np.ndarray, where: np.ndarray) -> np.ndarray:
-        c = np.where(where, _find(self.contexts[level], context), -1)
-        i = np.flatnonzero(c >= 0)
-        if not len(i):
-            return below
-        at = np.where(symbol[i] >= 0, _find(self.pairs[level], (c[i] << 32) | symbol[i]), -1)
-        out = below.copy()
-        out[i] = np.where(at >= 0, self.logp[level][at], self.backoff[level][c[i]] + below[i])
-        return out
+        base = float((per - np.log10(self.z)).sum())
+        out, more = base, [tokens[rare]]
+        for n in range(1, self.depth + 2):
+            keys = _sequences(tokens, n)
+            at = _find(self.keys, signed(keys))
+            out += float(self.values[at[at >= 0]].sum())
+            if n > 1:
+                keys = keys[at < 0]
+                more.append(keys[self.others.passes(keys)])
+        return out, base, int(np.count_nonzero(~rare & (self.counts[s] > 0))) if len(self.counts) else 0, np.concatenate(more)
+
+
+def _counted_at(tokens: np.ndarray, filters: list[tuple[KeyFilter | None, KeyFilter]]) -> np.ndarray:
+    """Start positions of the contexts of len(filters) words whose followers are counted. filters: by depth, the contexts of one word
+    less that are extended, and the sequences of the depth that were counted one depth before and are frequent. A context
+    is left out if its suffix is not extended, or if it, or what it begins with, was counted and is rare."""
+    rare, counted = np.zeros(len(tokens), bool), np.ones(len(tokens), bool)
+    for depth, (grown, frequent) in enumerate(filters, 1):
+        keys = _sequences(tokens[:-1], depth)
+        rare, counted = rare[: len(keys)], counted[: len(keys)]
+        rare = rare | (counted & ~frequent.passes(keys))
+        counted = ~rare
+        if grown is not None:
+            counted &= grown.passes(_sequences(tokens[1:-1], depth - 1))
+    return np.flatnonzero(counted)
+
+
+def _followers(texts: DataFrame, filters: list[tuple[KeyFilter | None, KeyFilter]]) -> DataFrame:
+    """(context, symbol, suffix, n): what follows the contexts of len(filters) words."""
+    sent, depth = texts.sparkSession.sparkContext.broadcast(filters), len(filters)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        new, size = [], 0
+
+        def combined() -> pa.RecordBatch:
+            context, symbol, suffix = (np.concatenate(x) for x in zip(*new, strict=True))
+            key = _turn(context) ^ symbol
+            order = np.argsort(key)
+            key = key[order]
+            first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else order
+            n = np.diff(np.r_[first, len(key)]).astype(np.int64)
+            return pa.RecordBatch.from_arrays([*[pa.array(signed(x[order[first]])) for x in (context, symbol, suffix)], pa.array(n)], names=["context", "symbol", "suffix", "n"])
+
+        def pieces(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+            for at in range(0, b.num_rows, 100_000):
+                yield b.slice(at, 100_000)
+
+        for b in batches:
+            for t in b.column(0).to_pylist():
+                tokens = _tokens(t)
+                if len(tokens) <= depth:
+                    continue
+                at = _counted_at(tokens, sent.value)
+                suffix = _sequences(tokens[1:-1], depth - 1)[at] if depth > 1 else np.zeros(len(at), np.uint64)
+                new.append((_sequences(tokens[:-1], depth)[at], tokens[depth:][at], suffix))
+                size += len(at)
+                if size > 4_000_000:
+                    yield from pieces(combined())
+                    new, size = [], 0
+        if size:
+            yield from pieces(combined())
+
+    rows = texts.mapInArrow(run, "context long, symbol long, suffix long, n long")
+    return rows.groupBy("context", "symbol").agg(F.min("suffix").alias("suffix"), F.sum("n").alias("n"))
+
+
+def _level(texts: DataFrame, filters: list, lower: tuple[DataFrame, DataFrame] | None, root: DataFrame) -> tuple[DataFrame, DataFrame, KeyFilter]:
+    """Of one depth: candidate contexts (context, suffix, total, left, diverges, grows), stored symbols (context, symbol, n, p,
+    value: log10 of p by back-off's), and a filter of the frequent sequences that were counted. root: symbol, below."""
+    got = materialize(_followers(texts, filters), "lm_followers")
+    contexts = got.groupBy("context").agg(F.min("suffix").alias("suffix"), F.sum("n").alias("total"), (F.count(F.lit(1)) > 1).alias("several"), F.sum(F.when(F.col("n") >= MIN_NEXT, F.col("n") - DISCOUNT)).alias("seen")).filter(F.col("total") >= MIN_CONTEXT)
+    if lower:
+        parent = lower[0].filter("grows").select(F.col("context").alias("suffix"), F.col("diverges").alias("shorter_diverges"))
+        contexts = contexts.join(parent, "suffix")  # exactly those whose suffix is extended
+    else:
+        contexts = contexts.withColumn("shorter_diverges", F.lit(True))
+    contexts = materialize(contexts.withColumn("left", 1 - F.coalesce("seen", F.lit(0.0)) / F.col("total")).drop("seen"), "lm_contexts")
+    stored = got.filter(F.col("n") >= MIN_NEXT).drop("suffix").join(contexts.select("context", "suffix", "total", "left"), "context")
+    if lower:
+        shorter = lower[1].select(_longer(F.col("context"), F.col("symbol")).alias("shorter"), F.col("p").alias("below"))
+        stored = stored.withColumn("shorter", _longer(F.col("suffix"), F.col("symbol"))).join(shorter, "shorter")
+    else:
+        stored = stored.join(root, "symbol")
+    stored = stored.withColumn("p", (F.col("n") - DISCOUNT) / F.col("total") + F.col("left") * F.col("below"))
+    stored = materialize(stored.select("context", "symbol", "n", "p", (F.log10("p") - F.log10("below") - F.log10("left")).alias("value")), "lm_stored")
+    frequent = KeyFilter(got.filter(F.col("n") >= MIN_CONTEXT).select(_longer(F.col("context"), F.col("symbol")).alias("key")), "key")
+    discard(got)
+    sums = stored.groupBy("context").agg(F.sum(F.col("p") * F.col("value")).alias("gain"), F.sum("p").alias("p"), F.sum(F.col("p") / F.pow(F.lit(10.0), "value")).alias("below"))
+    # p = value * left * below of stored symbols, and left * below of the rest
+    divergence = F.col("gain") * float(np.log(10)) + (F.col("p") + F.col("left") - F.col("below")) * F.log("left")
+    out = contexts.join(sums, "context", "left").withColumn("diverges", F.coalesce(divergence >= MIN_DIVERGENCE, F.lit(False)))
+    out = out.withColumn("grows", F.col("several") & (F.col("diverges") | F.col("shorter_diverges")))
+    out = materialize(out.drop("gain", "p", "below", "several", "shorter_diverges"), "lm_level")
+    discard(contexts)
+    return out, stored, frequent
+
+
+def _values(levels: list[tuple[DataFrame, DataFrame]]) -> tuple[DataFrame | None, list[DataFrame]]:
+    """(key, n, value) of every sequence that has a number, and the states of each level. A state's number is its log10
+    back-off weight; that of a stored symbol's sequence is what it is more probable than by back-off. So the numbers of all
+    sequences that end at a position or before it sum up along the suffixes to the probability in the longest state."""
+    parts, states, closed = [], [], None
+    for contexts, stored in reversed(levels):
+        kept = contexts.filter("diverges").select("context")
+        if closed is not None:
+            kept = kept.unionByName(closed).distinct()
+        kept = materialize(contexts.join(kept, "context", "left_semi").select("context", "suffix", "total", "left"), "lm_states")
+        closed = kept.select(F.col("suffix").alias("context")).distinct()
+        states.insert(0, kept)
+        parts.append(kept.select(F.col("context").alias("key"), F.col("total").alias("n"), F.log10("left").alias("value")))
+        parts.append(stored.join(kept.select("context"), "context", "left_semi").select(_longer(F.col("context"), F.col("symbol")).alias("key"), "n", "value"))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out.groupBy("key").agg(F.max("n").alias("n"), F.sum("value").alias("value")), states
 
 
 def train(texts: DataFrame) -> tuple[Tree, DataFrame]:
-    """The tree and the unigram table (key, n) of training texts."""
-    spark = texts.sparkSession
-    unigrams = materialize(_counted(texts, lambda: signed, "unigrams"), "unigrams")
+    """The tree, and the table of what tasks do not know: (key, n, null) of words, (key, null, value) of sequences."""
+    unigrams = materialize(_counted(texts, lambda: signed), "unigrams")
     total, vocabulary = unigrams.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
+    total, vocabulary = int(total), int(vocabulary)
     frequent = unigrams.filter(F.col("n") >= P_JOINT * total).toPandas().sort_values("key")
-    tree = Tree(frequent["key"].to_numpy(np.int64), frequent["n"].to_numpy(np.int64), int(total), int(vocabulary))
-    end = _find(tree.symbols, signed(np.array([END])))[0]
-
-    contexts = np.flatnonzero(tree.counts >= P_CONTEXT * total)
-    contexts = contexts[contexts != end]
-    sent = spark.sparkContext.broadcast((tree.symbols, contexts))
-
-    def pairs():
-        symbols, ctx = sent.value
-        number = np.full(len(symbols) + 1, -1)
-        number[ctx] = np.arange(len(ctx))
-
-        def of(tokens: np.ndarray) -> np.ndarray:
-            s = _find(symbols, signed(tokens))
-            c = number[s[:-1]]
-            return (c << 32 | s[1:])[(c >= 0) & (s[1:] >= 0)]
-
-        return of
-
-    got = _counted(texts, pairs, "pairs", P_JOINT, total).toPandas().sort_values("key")
-    keys, n = got["key"].to_numpy(np.int64), got["n"].to_numpy(np.int64)
-    names = contexts.astype(np.int64)
-    if len(keys):
-        # a context is followed by a token each time: the end token follows the last word
-        kept = tree.add_level(0, names, tree.counts[contexts].astype(float), keys, n)
-        # candidates of the second level: pairs that are frequent enough and end in a kept state
-        frequent_pair = (n >= P_CONTEXT * total) & ((keys & 0xFFFFFFFF) != end) & np.isin(keys & 0xFFFFFFFF, contexts[kept])
-        name2 = (names[keys[frequent_pair] >> 32] << 32) | (keys[frequent_pair] & 0xFFFFFFFF)
-        order = np.argsort(name2)
-        name2, total2 = name2[order], n[frequent_pair][order].astype(float)
-        if len(name2):
-            sent2 = spark.sparkContext.broadcast((tree.symbols, name2))
-
-            def triples():
-                symbols, two = sent2.value
-
-                def of(tokens: np.ndarray) -> np.ndarray:
-                    s = _find(symbols, signed(tokens))
-                    known = (s[:-2] >= 0) & (s[1:-1] >= 0) & (s[2:] >= 0)
-                    c = np.where(known, _find(two, (s[:-2] << 32) | s[1:-1]), -1)
-                    return (c << 32 | s[2:])[c >= 0]
-
-                return of
-
-            got = _counted(texts, triples, "triples", P_JOINT, total).toPandas().sort_values("key")
-            if len(got):
-                tree.add_level(1, name2, total2, got["key"].to_numpy(np.int64), got["n"].to_numpy(np.int64))
-    return tree, unigrams
-
-
-def score(docs: DataFrame, tree: Tree, unigrams: DataFrame, keep: list[str]) -> DataFrame:
+    tree = Tree(frequent["key"].to_numpy(np.int64), frequent["n"].to_numpy(np.int64), total, vocabulary)
+    root = unigrams.select(F.col("key").alias("symbol"), ((F.col("n") + 1.0) / float(tree.z)).alias("below"))
+    levels: list[tuple[DataFrame, DataFrame]] = []
+    words = unigrams.filter(F.col("n") >= MIN_CONTEXT)
+    filters = [(None, KeyFilter(words, "key"))]
+    while not levels or filters[-1][0].size:
+        contexts, stored, frequent = _level(texts, filters, levels[-1] if levels else None, root)
+        levels.append((contexts, stored))
+        filters.append((KeyFilter(contexts.filter("grows"), "context"), frequent))
+    values, states = _values(levels)
+    values = materialize(values, "lm_values")
+    hot = F.col("n") >= P_JOINT * total
+    known = values.filter(hot).select("key", "value").toPandas().sort_values("key")
+    tree.keys, tree.values, tree.depth = known["key"].to_numpy(np.int64), known["value"].to_numpy(float), len(levels)
+    others = values.filter(~hot)
+    tree.others = KeyFilter(others, "key")
+    for level, ((_, stored), kept) in enumerate(zip(levels[:2], states, strict=False)):
+        near = stored.filter(hot).join(kept.filter(F.col("total") >= P_CONTEXT * total).select("context", "suffix"), "context")
+        tree.add_level(level, near.select("context", "symbol", "suffix", "p").toArrow())
+    for done in [*[x for level in levels for x in level], *states]:
+        discard(done)
+    rest = unigrams.select("key", "n", F.lit(None).cast("double").alias("value"))
+    return tree, rest.unionByName(others.select("key", F.lit(None).cast("long").alias("n"), "value"))
+
+
+def score(docs: DataFrame, tree: Tree, table: DataFrame, keep: list[str]) -> DataFrame:
     """``keep`` columns and n_tokens, n_known, train_tokens, base_score, score of every row."""
     rows = docs.select(*keep, F.col("text").cast("string").alias("text"))
     sent = docs.sparkSession.sparkContext.broadcast(tree)
@@ -248,18 +361,18 @@ def score(docs: DataFrame, tree: Tree, unigrams: DataFrame, keep: list[str]) ->
                 yield pa.RecordBatch.from_arrays([*part.columns[: len(keep)], ids, *[pa.array(v, k) for v, k in zip(out, kinds, strict=True)]], names=[*keep, "row", "n_tokens", "known", "base", "own", "rare"])
 
     scored = materialize(rows.mapInArrow(run, ddl + ", row long, n_tokens long, known long, base double, own double, rare array<long>"), "lm_rows")
-    rare = scored.select("row", F.explode("rare").alias("key")).join(unigrams, "key")
-    more = rare.groupBy("row").agg(F.count(F.lit(1)).alias("more"), F.sum(F.log10(F.col("n") + F.lit(1.0))).alias("add"))
+    rare = scored.select("row", F.explode("rare").alias("key")).join(table, "key")
+    more = rare.groupBy("row").agg(F.count("n").alias("more"), F.sum(F.log10(F.col("n") + F.lit(1.0))).alias("add"), F.sum("value").alias("gain"))
     out = scored.drop("rare").join(more, "row", "left")
     add = F.coalesce("add", F.lit(0.0))
-    return out.select(*keep, "n_tokens", (F.col("known") + F.coalesce("more", F.lit(0))).alias("n_known"), F.lit(tree.total).cast("long").alias("train_tokens"), (F.col("base") + add).alias("base_score"), (F.col("own") + add).alias("score"))
+    return out.select(*keep, "n_tokens", (F.col("known") + F.coalesce("more", F.lit(0))).alias("n_known"), F.lit(tree.total).cast("long").alias("train_tokens"), (F.col("base") + add).alias("base_score"), (F.col("own") + add + F.coalesce("gain", F.lit(0.0))).alias("score"))
 
 
 def language_model(docs: DataFrame) -> DataFrame:
     held = F.coalesce(crc_mod("doc_id", 7) == 2, F.lit(False))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held.alias("held_out"), F.col("text").cast("string").alias("text"))
-    tree, unigrams = train(rows.filter(~F.col("held_out")).select("text"))
-    return score(rows, tree, unigrams, ["doc_id", "held_out"])
+    tree, table = train(rows.filter(~F.col("held_out")).select("text"))
+    return score(rows, tree, table, ["doc_id", "held_out"])
 
 
 def op4_suffix_tree_lm(spark: SparkSession, sf_dir: str) -> DataFrame:

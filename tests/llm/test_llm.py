@@ -308,6 +308,56 @@ def test_op4_states_are_distributions_and_help(spark, monkeypatch):
     assert all(x.score > x.base_score + 5 for x in got)
 
 
+def test_op4_repeated_phrases_are_states_at_any_share(spark, monkeypatch):
+    """The shares decide only what is broadcast: phrases far below them are states; scores against brute force."""
+    monkeypatch.setattr(language_model, "P_CONTEXT", 0.01)
+    monkeypatch.setattr(language_model, "P_JOINT", 0.001)
+    r = random.Random(6)
+    words = [f"w{i}" for i in range(3000)]
+    rows = [(i, " ".join(r.choices(words, k=100))) for i in range(600)]
+    for i in range(20):
+        rows[i] = (i, rows[i][1] + " zig zag " + ("left zug end" if i % 2 else "right zug stop"))
+    texts = [t.encode().split() + [b""] for _, t in rows]
+    tree, table_ = language_model.train(spark.createDataFrame([(t,) for _, t in rows], "text string"))
+    got = {x.doc_id: x for x in language_model.score(table(spark, rows), tree, table_, ["doc_id"]).collect()}
+    follow = collections.defaultdict(collections.Counter)
+    for t in texts:
+        for d in range(5):
+            for i in range(len(t) - d):
+                follow[tuple(t[i : i + d])][t[i + d]] += 1
+    count = {c: sum(f.values()) for c, f in follow.items()}
+    n, v = count[()], len(follow[()])
+
+    def candidate(c):
+        return not c or (count[c] >= 8 and candidate(c[1:]) and (len(c) == 1 or grows(c[1:])))
+
+    def grows(c):
+        return len(follow[c]) > 1 and (len(c) == 1 or diverges(c) or diverges(c[1:]))
+
+    def left(c):
+        return 1 - sum(x - 0.5 for x in follow[c].values() if x >= 2) / count[c]
+
+    def p(c, w):
+        if not c:
+            return (follow[c][w] + 1) / (n + v + 1)
+        return (max(follow[c][w] - 0.5, 0) / count[c] if follow[c][w] >= 2 else 0) + left(c) * p(c[1:], w)
+
+    def diverges(c):
+        stored = [w for w, x in follow[c].items() if x >= 2]
+        gain = sum(p(c, w) * np.log(p(c, w) / p(c[1:], w)) for w in stored)
+        return gain + left(c) * (1 - sum(p(c[1:], w) for w in stored)) * np.log(left(c)) >= 0.02
+
+    states = {()}
+    for c in [c for c in count if c and len(c) < 4 and candidate(c) and diverges(c)]:
+        states |= {c[i:] for i in range(len(c) + 1)}
+    assert (b"left", b"zug") in states
+    for i in [*range(20), 100, 599]:
+        t = texts[i]
+        want = sum(np.log10(p(max((tuple(t[j - d : j]) for d in range(min(j, 3) + 1) if tuple(t[j - d : j]) in states), key=len), w)) for j, w in enumerate(t))
+        assert got[i].score == pytest.approx(want, abs=1e-6)
+    assert all(got[i].score > got[i].base_score + 10 for i in range(20))
+
+
 def test_op4_empty(odd, nothing):
     assert language_model.language_model(nothing).count() == 0
     got = language_model.language_model(odd).collect()
