@@ -6,8 +6,9 @@ node, the position (doc_id, line_no) of the first. The signature is one-permutat
 ``BINS`` bins, each bin keeps its least hash in two orders (the second under an xor mask), and an empty bin borrows from the
 next. ``BANDS`` bands of ``ROWS`` minima give the band keys; lines that share a band key link to the first of them and, to bridge
 links that do not pass through the first, to the previous one in the order of another minimum; links whose exact
-Jaccard similarity is at least ``PERCENT`` / 100 are kept, and one line per component stays: the one at the smallest
-position.
+Jaccard similarity is at least ``PERCENT`` / 100 are kept. Band keys whose lines are then still in several components are searched in
+blocks of ``BLOCK`` lines: every pair of different components is verified, so each pair that shares a band key is verified or already
+joined. One line per component stays: the one at the smallest position.
 
 Scale: the text crosses the network twice (once to the line's node, once to rebuild documents); shingles never do, as they
 are aggregated where their line is. Hot lines are collapsed by a map-side combined count, and joins on line hashes or
@@ -28,6 +29,7 @@ from .common import discard, documents, materialize
 from .graph import components
 
 SHINGLE, BINS, BANDS, ROWS, PERCENT, MIN_BYTES = 10, 16, 8, 4, 80, 24
+BLOCK = 512
 MASK = 0x3C6EF372FE94F82A
 
 
@@ -83,19 +85,41 @@ def removed_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     parts = F.pmod(F.xxhash64("place"), F.lit(64))  # chains within slices, so that a hot key is not one task's window
     chain = member.withColumn("part", parts).withColumn("other", F.lag("place").over(Window.partitionBy("key", "part").orderBy("rank", "place"))).filter("other is not null").select("place", "other")
     pairs = materialize(star.unionByName(chain).select(F.least("place", "other").alias("a"), F.greatest("place", "other").alias("b")).distinct(), "line_pairs")
-    discard(member)
-    links = _verify(pairs, every.withColumn("place", _place(F.col("doc_id"), F.col("line_no"))), percent)
-    comp = components(links)
+    placed = every.withColumn("place", _place(F.col("doc_id"), F.col("line_no")))
+    links = _verify(pairs, placed, percent)
+    comp = materialize(components(links), "line_components")
+    others = materialize(_residual(member, comp), "line_pairs")
+    more = _verify(others, placed, percent)
+    if not more.isEmpty():
+        discard(comp)
+        comp = materialize(components(links.unionByName(more)), "line_components")
+    for done in (member, others, more):
+        discard(done)
 
     # where each distinct line's component is kept
     kept = nodes.join(comp.withColumnRenamed("node", "place"), "place", "left").select("h1", "h2", F.coalesce("component", "place").alias("kept"), "n", "place").filter("n > 1 or kept <> place").select("h1", "h2", "kept")
     gone = at.select("doc_id", "line_no", "h1", "h2", _place(F.col("doc_id"), F.col("line_no")).alias("place")).join(kept, ["h1", "h2"]).filter("place <> kept")
     gone = materialize(gone.select("doc_id", "line_no"), "line_gone")
-    for done in (at, nodes, signed, pairs, links):
+    for done in (at, nodes, signed, pairs, links, comp):
         discard(done)
     return gone
 
 
+def _residual(member: DataFrame, comp: DataFrame) -> DataFrame:
+    """Pairs (a, b) of different components that share a band key."""
+    rows = member.select("key", "place").join(comp.withColumnRenamed("node", "place"), "place", "left").withColumn("component", F.coalesce("component", "place"))
+    mixed = rows.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("size"), F.bit_xor(F.xxhash64("place")).alias("who")).filter("lo <> hi")
+    # keys with the same lines are searched once
+    mixed = mixed.groupBy("who", "size").agg(F.min("key").alias("key")).select("key", F.ceil(F.col("size") / BLOCK).cast("long").alias("blocks"))
+    rows = rows.join(mixed, "key").withColumn("mine", F.pmod(F.xxhash64("place", "key"), F.col("blocks")))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    rows = rows.select("key", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "place", "component")
+    left = rows.filter("mine = i").drop("mine")
+    right = rows.filter("mine = j").select("key", "i", "j", F.col("place").alias("place2"), F.col("component").alias("component2"))
+    both = left.join(right, ["key", "i", "j"]).filter("component <> component2 and (i < j or place < place2)")
+    return both.select(F.least("place", "place2").alias("a"), F.greatest("place", "place2").alias("b")).distinct()
+
+
 def _verify(pairs: DataFrame, at: DataFrame, percent: int) -> DataFrame:
     """Pairs whose exact shingle sets are similar enough."""
     wanted = pairs.select(F.col("a").alias("place")).unionByName(pairs.select(F.col("b").alias("place"))).distinct()

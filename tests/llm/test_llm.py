@@ -571,6 +571,22 @@ def test_op10(docs, rows):
         assert got[i].text == keep and got[i].n_lines == (0 if t is None else t.count("\n") + 1) and got[i].place == "x"
 
 
+def test_op10_links_that_pass_no_first_line_are_found(spark):
+    """Many template lines share band keys with pairs that are alike: every pair that shares a key is found."""
+    r = random.Random(12)
+    letters = "abcdefghijklmnopqrstuvwxyz "
+    some = lambda n: "".join(r.choices(letters, k=n)).replace(" ", "_")
+    head = some(160)
+    lines = [head + some(30) for _ in range(60)]
+    for _ in range(60):
+        x = head + some(30)
+        lines += [x, x[:-14] + some(14)]
+    rows = list(enumerate(lines))
+    want, links = brute_lines(rows, line_dedup.PERCENT)
+    got = {(x.doc_id, n) for x in line_dedup.dedup(table(spark, rows)).collect() for n in x.removed}
+    assert links >= 60 and got <= want and len(want - got) <= 2
+
+
 def test_op10_odd(odd, nothing):
     assert line_dedup.dedup(odd).count() == 6 and line_dedup.dedup(nothing).count() == 0
     assert all(r.text is not None for r in line_dedup.dedup(odd).filter("doc_id is null and n_chars > 0").collect())
