@@ -587,6 +587,13 @@ def test_op10_links_that_pass_no_first_line_are_found(spark):
     assert links >= 60 and got <= want and len(want - got) <= 2
 
 
+def test_op10_equal_short_lines_go(spark, tmp_path):
+    rows = [(1, "All rights reserved.\nok\n\n版权所有"), (2, "all rights reserved. \n\nno"), (3, "版权所有\nok\nokk")]
+    table(spark, rows).write.parquet(str(tmp_path / "documents.parquet"))
+    got = {x.doc_id: x.removed_lines for x in line_dedup.op10_line_minhash(spark, str(tmp_path)).collect()}
+    assert got == {1: "", 2: "0", 3: "0,1"}
+
+
 def test_op10_odd(odd, nothing):
     assert line_dedup.dedup(odd).count() == 6 and line_dedup.dedup(nothing).count() == 0
     assert all(r.text is not None for r in line_dedup.dedup(odd).filter("doc_id is null and n_chars > 0").collect())
