@@ -1,13 +1,12 @@
-"""Suffix-class dedup of repeated byte strings by prefix-free parsing.
+"""Dedup of repeated byte strings by content-determined triggers and hash grouping, in place of prefix-free parsing's suffix arrays.
 
 Every byte covered by a ``LENGTH``-byte string that also starts earlier (smaller doc_id, or earlier in the same document)
 is removed; strings are judged on the input and never cross documents.
 
 A rolling hash cuts texts at triggers: a ``GRAM``-byte string is a trigger if it is the least of some ``LENGTH``-byte window
 (leftmost on ties), so each window has exactly one trigger that its own bytes determine, and phrases between triggers
-are bounded. The dictionary holds the distinct phrases with the bytes around their trigger that its windows can reach. In
-the corpus-wide suffix order, truncated at ``LENGTH`` bytes, equal windows are neighbours, and they share the trigger; so the
-order need be built only where it can matter:
+are bounded. Equal windows share the trigger and the bytes around it, so hashes of both are sorted and grouped; no
+phrase dictionary, parse, suffix array or suffix order is built. Windows are looked at only where they can matter:
 
 1. Triggers are dealt by their hash and sorted by (trigger, context, position). A later occurrence of the same context is
    a repeat: all its windows go. A trigger with one context cannot start a match elsewhere: its first occurrence stays.
