@@ -1,22 +1,25 @@
 """Exact Jaccard self-join of word-shingle sets with PartEnum signatures.
 
 Sets of similar size share a zone of two neighbouring size bands. In a zone, two sets that are similar enough differ in
-at most k shingles, so if the shingle domain is cut into k + 1 + e parts, they agree on at least 1 + e whole parts; a
-signature is the hash of what a set has in one part. The e extra parts make up for parts in which a set has nothing: such
-empty parts are signatures only of sets with more than e of them, so no link is lost and emptiness links nothing.
+at most k shingles. The shingle domain is cut into k // 2 + 1 + e first-level partitions of ``CELLS`` second-level ones each. At
+least 1 + e first-level partitions then hold one difference at most, so the sets agree there on a subset of ``CELLS`` - 1
+second-level partitions; all these subsets are enumerated, and a signature is the hash of what a set has in one. The e extra
+partitions make up for those in which a subset is empty: empty subsets are signatures only of sets with more than e such
+partitions, so no link is lost and emptiness links nothing.
 
-Equal sets are one node (its smallest doc_id). Then:
+Equal sets are one node (the set's hash). Then:
 
 1. Signatures are combined inside each task (rows after the first of a signature become links to that first node and
    are not shuffled by signature), then dealt by signature: a bucket's nodes link to its smallest node (a star).
-2. Star links that pass an exact lower bound of the difference (64 shingle counts a node) are verified on whole sets;
+2. Links that pass an exact lower bound of the difference (``BINS`` shingle counts a node) are verified on whole sets;
    verified links give components.
-3. Only buckets whose nodes are still in several components are searched further: their nodes of different components are
-   compared in blocks of ``BLOCK`` nodes by the same bound, and what passes is verified. So every link is found or already
-   implied, and no bucket's pairs are emitted.
+3. Buckets whose nodes are still in several components get stars around ``STARS`` other nodes, verified in the same way. What is still in
+   several components is compared in blocks of ``BLOCK`` nodes: pairs of different components that pass the bound are
+   verified. So every link is found or already implied.
 
 Defined results: null text, or no words: an empty set, linked with nothing, its own component; rows with a null doc_id
-get a null component and link nothing; equal texts share a component; extra columns are ignored.
+get a null component and link nothing; equal texts share a component; rows that repeat a doc_id are sets of their own, each
+with its own component; an empty table gives an empty result; extra columns are ignored. Shingles and sets are compared by 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -32,6 +35,8 @@ from .common import BitFilter, by_partition, discard, distinct, documents, mater
 from .graph import components
 
 WORDS, PERCENT, BLOCK = 4, 85, 512
+#: Second-level partitions of a first-level one; counts of a node for stars and for blocks; stars of a bucket before its blocks.
+CELLS, BINS, FINE, STARS = 3, 128, 512, 3
 
 
 def slack(total: np.ndarray | int, percent: int):
@@ -52,7 +57,7 @@ class Zones:
         return int(np.searchsorted(self.low, n, side="right")) - 1
 
     def parts(self, zone: int) -> tuple[int, int]:
-        """(number of parts, extra parts) of a zone; (0, 0) if its pairs can only be equal sets."""
+        """(number of first-level partitions, extra ones) of a zone; (0, 0) if its pairs can only be equal sets."""
         if zone not in self._plans:
             self.band(self.low[min(zone + 1, len(self.low) - 1)] + 1)
             while len(self.low) < zone + 3:
@@ -61,8 +66,11 @@ class Zones:
             total = big + 100 * big // self.percent
             k = max((slack(s, self.percent) for s in range(max(2, total - 40), total + 1)), default=0)
             k = max(k, 0)
-            extra = 1 + int(3 * (k + 1) * np.exp(-self.low[zone] / (k + 2)))
-            self._plans[zone] = (k + 1 + extra, extra) if k else (0, 0)
+            parts = k // 2 + 1
+            each = self.low[zone] / parts
+            thin = min(1.0, CELLS * np.exp(-each * (CELLS - 1) / CELLS))  # how likely a partition has an empty subset
+            extra = 1 + int(3 * parts * thin)
+            self._plans[zone] = (parts + extra, extra) if k else (0, 0)
         return self._plans[zone]
 
 
@@ -78,20 +86,28 @@ def signatures(h: np.ndarray, zones: Zones) -> np.ndarray:
         if not m:
             continue
         x = mix64(h ^ np.uint64(0x51ED270B * (zone + 1)))
-        part = ((x >> np.uint64(32)) * np.uint64(m) >> np.uint64(32)).astype(np.int64)
-        filled = np.bincount(part, minlength=m)
-        low = np.bincount(part, weights=(x & np.uint64(0x3FFFFFF)).astype(float), minlength=m)
-        high = np.bincount(part, weights=(h & np.uint64(0x3FFFFFF)).astype(float), minlength=m)
+        cells = m * CELLS
+        cell = ((x >> np.uint64(32)) * np.uint64(cells) >> np.uint64(32)).astype(np.int64)
+        sums = [np.bincount(cell, weights=w, minlength=cells).reshape(m, CELLS) for w in (None, (x & np.uint64(0x3FFFFFF)).astype(float), (h & np.uint64(0x3FFFFFF)).astype(float))]
+        filled, low, high = (y.sum(axis=1, keepdims=True) - y for y in sums)  # of each subset, by the second-level partition it leaves out
         sig = low.astype(np.uint64) ^ (high.astype(np.uint64) << np.uint64(30))
-        sig = mix64(sig ^ mix64(np.arange(m, dtype=np.uint64) + np.uint64(zone << 32)))
-        if np.count_nonzero(filled == 0) <= extra:
-            sig = sig[filled > 0]
+        sig = mix64(sig ^ mix64(np.arange(cells, dtype=np.uint64).reshape(m, CELLS) + np.uint64(zone << 32)))
+        sig = sig[filled > 0] if np.count_nonzero((filled == 0).any(axis=1)) <= extra else sig.ravel()
         out.append(sig)
     return np.concatenate(out) if out else h[:0]
 
 
-def _bins(h: np.ndarray) -> bytes:
-    return np.minimum(np.bincount((h >> np.uint64(58)).astype(np.int64), minlength=64), 255).astype(np.uint8).tobytes()
+def _name(h: np.ndarray) -> int:
+    """A set's hash: of the sum of its mixed members and its size; 0 for the empty set."""
+    return int(mix64(mix64(h ^ np.uint64(0xA5A5A5A5)).sum(dtype=np.uint64, keepdims=True) + np.uint64(len(h)))[0].astype(np.int64)) if len(h) else 0
+
+
+def _bins(h: np.ndarray) -> np.ndarray:
+    return np.bincount((h >> np.uint64(64 - FINE.bit_length() + 1)).astype(np.int64), minlength=FINE)
+
+
+def _bytes(counts: np.ndarray) -> bytes:
+    return np.minimum(counts, 255).astype(np.uint8).tobytes()
 
 
 def _plain(docs: DataFrame) -> DataFrame:
@@ -99,20 +115,21 @@ def _plain(docs: DataFrame) -> DataFrame:
 
 
 def sets(docs: DataFrame, words: int) -> DataFrame:
-    """doc_id, n (set size), k1, k2 (128-bit hash of the set), bins (64 shingle counts)."""
+    """doc_id, n (set size), k1 (hash of the set), bins and fine (``BINS`` and ``FINE`` shingle counts)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            n, k1, k2, bins = [], [], [], []
+            n, k1, bins, fine = [], [], [], []
             for t in b.column(1).to_pylist():
                 h = shingle_hashes(word_hashes(t), words)
                 n.append(len(h))
-                k1.append(int(h.sum(dtype=np.uint64).view(np.int64)) if len(h) else 0)
-                k2.append(int(mix64(h ^ np.uint64(0xA5A5A5A5)).sum(dtype=np.uint64).view(np.int64)) if len(h) else 0)
-                bins.append(_bins(h))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(k1, pa.int64()), pa.array(k2, pa.int64()), pa.array(bins, pa.binary())], names=["doc_id", "n", "k1", "k2", "bins"])
+                k1.append(_name(h))
+                counts = _bins(h)
+                fine.append(_bytes(counts))
+                bins.append(_bytes(counts.reshape(BINS, -1).sum(axis=1)))
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(k1, pa.int64()), pa.array(bins, pa.binary()), pa.array(fine, pa.binary())], names=["doc_id", "n", "k1", "bins", "fine"])
 
-    return _plain(docs).mapInArrow(run, "doc_id long, n long, k1 long, k2 long, bins binary")
+    return _plain(docs).mapInArrow(run, "doc_id long, n long, k1 long, bins binary, fine binary")
 
 
 def _signature_rows(docs: DataFrame, words: int, percent: int) -> DataFrame:
@@ -130,14 +147,13 @@ def _signature_rows(docs: DataFrame, words: int, percent: int) -> DataFrame:
                         h = shingle_hashes(word_hashes(t), words)
                         sig = signatures(h, zones)
                         if len(sig):
-                            k1 = int(h.sum(dtype=np.uint64).view(np.int64))
-                            k2 = int(mix64(h ^ np.uint64(0xA5A5A5A5)).sum(dtype=np.uint64).view(np.int64))
-                            rows.append((d, len(h), k1, k2, sig.tobytes()))
-                cols = list(zip(*rows, strict=True)) if rows else [[]] * 5
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, [pa.int64()] * 4 + [pa.binary()], strict=True)], names=["doc_id", "n", "k1", "k2", "sigs"])
+                            k1 = _name(h)
+                            rows.append((k1, sig.tobytes()))
+                cols = list(zip(*rows, strict=True)) if rows else [[]] * 2
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, [pa.int64(), pa.binary()], strict=True)], names=["k1", "sigs"])
 
-    one = _plain(docs).mapInArrow(read, "doc_id long, n long, k1 long, k2 long, sigs binary")
-    one = one.groupBy("k1", "k2", "n").agg(F.min("doc_id").alias("node"), F.first("sigs").alias("sigs")).select("node", "sigs")
+    one = _plain(docs).mapInArrow(read, "k1 long, sigs binary")
+    one = one.groupBy("k1").agg(F.first("sigs").alias("sigs")).select(F.col("k1").alias("node"), "sigs")
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -182,7 +198,7 @@ def _bounded(pairs: DataFrame, info: DataFrame, percent: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in batches:
-            x, y = (np.frombuffer(b"".join(t.column(c).to_pylist()), np.uint8).reshape(-1, 64).astype(np.int16) for c in (2, 3))
+            x, y = (np.frombuffer(b"".join(t.column(c).to_pylist()), np.uint8).reshape(-1, BINS).astype(np.int16) for c in (2, 3))
             total = t.column(4).to_numpy()
             ok = np.abs(x - y).sum(axis=1) <= slack(total, percent)
             yield pa.RecordBatch.from_arrays([c.filter(pa.array(ok)) for c in t.columns[:2]], names=["a", "b"])
@@ -190,22 +206,21 @@ def _bounded(pairs: DataFrame, info: DataFrame, percent: int) -> DataFrame:
     return sized.select("a", "b", "ba", "bb", F.expr("na + nb").alias("total")).mapInArrow(run, "a long, b long")
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """Pairs (a, b) of nodes whose whole sets are similar enough."""
+def _verified(pairs: DataFrame, docs: DataFrame, heads: DataFrame, words: int, percent: int) -> DataFrame:
+    """Pairs (a, b) of nodes whose whole sets are similar enough; heads: node, doc_id of one of its rows."""
     pairs = materialize(pairs, "pairs")
-    nodes = materialize(pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct(), "nodes")
-    wanted = BitFilter(nodes, "node")
+    nodes = materialize(pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct().join(heads.select("node", "doc_id"), "node"), "nodes")
+    wanted = BitFilter(nodes, "doc_id")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             b = b.filter(pa.array(wanted.passes(b.column(2).to_numpy())))
             for at in range(0, b.num_rows, 1000):
-                part = b.slice(at, 1000)
-                x = [shingle_hashes(word_hashes(t), words).tobytes() for t in part.column(1).to_pylist()]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(x, pa.binary())], names=["node", "set"])
+                sets = [shingle_hashes(word_hashes(t), words) for t in b.column(1).slice(at, 1000).to_pylist()]
+                yield pa.RecordBatch.from_arrays([pa.array([_name(h) for h in sets], pa.int64()), pa.array([h.tobytes() for h in sets], pa.binary())], names=["node", "set"])
 
     got = wanted.column(_plain(docs).filter("doc_id is not null"), "doc_id").mapInArrow(read, "node long, set binary")
-    got = materialize(got.join(nodes, "node", "left_semi").dropDuplicates(["node"]), "sets")
+    got = materialize(got.join(nodes.select("node"), "node", "left_semi").dropDuplicates(["node"]), "sets")
     both = pairs.join(got.select(F.col("node").alias("a"), F.col("set").alias("x")), "a").join(got.select(F.col("node").alias("b"), F.col("set").alias("y")), "b").select("a", "b", "x", "y")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -223,20 +238,30 @@ def _verified(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> Da
     return links
 
 
-def _residual(buckets: DataFrame, comp: DataFrame, info: DataFrame, percent: int) -> DataFrame:
+def _mixed(members: DataFrame, comp: DataFrame) -> DataFrame:
+    """sig, node, component, size of the buckets whose nodes are in several components; of buckets with the same nodes, one."""
+    rows = members.join(comp, "node", "left").select("sig", "node", F.coalesce("component", "node").alias("component"))
+    mixed = rows.groupBy("sig").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("size"), F.bit_xor(F.xxhash64("node")).alias("who")).filter("lo <> hi and size > 2")
+    mixed = mixed.groupBy("who", "size").agg(F.min("sig").alias("sig"))
+    return materialize(rows.join(mixed.select("sig", "size"), "sig"), "mixed")
+
+
+def _pivots(mixed: DataFrame) -> DataFrame:
+    """(a, b): each node of a bucket with ``STARS`` others, if they are in different components."""
+    turn = [F.min(F.struct(F.xxhash64("node", F.lit(t)).alias("turn"), F.col("node").alias("head"), F.col("component").alias("other"))) for t in range(STARS)]
+    pivot = mixed.groupBy("sig").agg(F.array(*turn).alias("p")).select("sig", F.explode("p").alias("p")).select("sig", "p.head", "p.other")
+    return mixed.join(pivot, "sig").filter("component <> other").select(F.least("node", "head").alias("a"), F.greatest("node", "head").alias("b")).distinct()
+
+
+def _blocks(mixed: DataFrame, info: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of different components that share a bucket and pass the bound."""
-    members = buckets.select("sig", "node").unionByName(buckets.select("sig", F.col("head").alias("node"))).distinct()
-    members = members.join(comp, "node", "left").select("sig", "node", F.coalesce("component", "node").alias("component"))
-    mixed = members.groupBy("sig").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("size"), F.bit_xor(F.xxhash64("node")).alias("who")).filter("lo <> hi")
-    # buckets with the same nodes are searched once
-    mixed = mixed.groupBy("who", "size").agg(F.min("sig").alias("sig")).select("sig", F.ceil(F.col("size") / BLOCK).cast("long").alias("blocks"))
-    rows = members.join(mixed, "sig").join(info.select("node", "n", "bins"), "node")
+    rows = mixed.join(info.select("node", "n", "fine"), "node").withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("long"))
     rows = rows.withColumn("mine", F.pmod(F.xxhash64("node", "sig"), F.col("blocks"))).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    rows = rows.select("sig", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "node", "component", "n", "bins")
+    rows = rows.select("sig", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "node", "component", "n", "fine")
 
     def run(t: pa.Table) -> Iterator[pa.RecordBatch]:
         sig, i, j, mine, node, comp, n = (t.column(c).to_numpy() for c in range(7))
-        bins = np.frombuffer(b"".join(t.column(7).to_pylist()), np.uint8).reshape(-1, 64)
+        bins = np.frombuffer(b"".join(t.column(7).to_pylist()), np.uint8).reshape(-1, FINE)
         order = np.lexsort((j, i, sig))
         cut = np.flatnonzero(np.r_[True, (np.diff(sig[order]) != 0) | (np.diff(i[order]) != 0) | (np.diff(j[order]) != 0)])
         a_out, b_out = [], []
@@ -252,8 +277,11 @@ def _residual(buckets: DataFrame, comp: DataFrame, info: DataFrame, percent: int
                     near = near[np.abs(bins[near].astype(np.int16) - bins[x].astype(np.int16)).sum(axis=1) <= slack(total, percent)]
                     a_out.append(np.minimum(node[near], node[x]))
                     b_out.append(np.maximum(node[near], node[x]))
-        empty = np.zeros(0, np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([empty, *x])) for x in (a_out, b_out)], names=["a", "b"])
+        a, b = (np.concatenate([np.zeros(0, np.int64), *x]) for x in (a_out, b_out))
+        order = np.lexsort((b, a))  # buckets share pairs
+        a, b = a[order], b[order]
+        first = np.r_[True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])][: len(a)]
+        yield pa.RecordBatch.from_arrays([pa.array(a[first]), pa.array(b[first])], names=["a", "b"])
 
     return by_partition(rows.repartition("sig", "i", "j"), run, "a long, b long").distinct()
 
@@ -261,22 +289,37 @@ def _residual(buckets: DataFrame, comp: DataFrame, info: DataFrame, percent: int
 def join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, set_id (smallest doc_id with the same set), component_id for every row."""
     info = materialize(sets(docs, words), "sets")
-    heads = info.filter("n > 0 and doc_id is not null").groupBy("k1", "k2", "n").agg(F.min("doc_id").alias("node"), F.first("bins").alias("bins"))
-    heads = materialize(heads, "nodes")
+    named = info.filter("n > 0 and doc_id is not null")
+    heads = materialize(named.groupBy(F.col("k1").alias("node")).agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("bins").alias("bins"), F.first("fine").alias("fine")), "nodes")
     buckets = materialize(_buckets(_signature_rows(docs, words, percent)), "buckets")
-    star = buckets.select(F.col("head").alias("a"), F.col("node").alias("b")).distinct()
-    links = _verified(_bounded(star, heads, percent), docs, words, percent)
+    star = buckets.select(F.least("head", "node").alias("a"), F.greatest("head", "node").alias("b")).distinct()
+    links = _verified(_bounded(star, heads, percent), docs, heads, words, percent)
     comp = materialize(components(links), "components")
-    more = _verified(_residual(buckets, comp, heads, percent), docs, words, percent)
+    members = buckets.select("sig", "node").unionByName(buckets.select("sig", F.col("head").alias("node"))).distinct()
+    mixed = _mixed(members, comp)
     discard(buckets)
-    if not more.isEmpty():
-        comp = materialize(components(links.unionByName(more)), "components")
-    discard(links)
-    discard(more)
-    rows = info.alias("i").join(heads.select("k1", "k2", "n", F.col("node").alias("set_id")), ["k1", "k2", "n"], "left")
-    rows = rows.join(comp.withColumnRenamed("node", "set_id"), "set_id", "left")
-    set_id = F.when(F.col("doc_id").isNotNull(), F.when(F.col("n") > 0, F.col("set_id")).otherwise(F.col("doc_id")))
-    return rows.select("doc_id", F.col("n").alias("n_shingles"), set_id.alias("set_id"), F.when(F.col("doc_id").isNotNull(), F.coalesce("component", set_id)).alias("component_id"))
+    for step in (_pivots, _blocks):
+        if mixed.isEmpty():
+            break
+        more = _verified(_bounded(_pivots(mixed), heads, percent) if step is _pivots else _blocks(mixed, heads, percent), docs, heads, words, percent)
+        if not more.isEmpty():
+            before, both = (links, comp, mixed), links.unionByName(more)
+            comp = materialize(components(both), "components")
+            links, mixed = materialize(both, "links"), _mixed(mixed.select("sig", "node"), comp)
+            for done in before:
+                discard(done)
+        discard(more)
+    for done in (links, mixed):
+        discard(done)
+    # every set's first row, and the first of its component; empty sets are their own
+    own = heads.select("node", F.col("doc_id").alias("set_id")).join(comp, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    first = own.groupBy("component").agg(F.min("set_id").alias("component_id"))
+    own = materialize(own.join(first, "component").select("node", "set_id", "component_id"), "classes")
+    for done in (heads, comp):
+        discard(done)
+    alone = F.expr("n = 0 or doc_id is null")
+    got = info.filter(~alone).join(own, F.col("k1") == F.col("node")).select("doc_id", F.col("n").alias("n_shingles"), "set_id", "component_id")
+    return got.unionByName(info.filter(alone).select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("set_id"), F.col("doc_id").alias("component_id")))
 
 
 def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
