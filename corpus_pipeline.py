@@ -28,8 +28,8 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the lines that another line replaces; documents that lost all their text that way go. ``n_chars``
     follows the text."""
-    out = line_dedup.dedup(docs.select(COLUMNS), short=True).filter((F.size("removed") == 0) | (F.trim("text") != ""))
-    n = F.when(F.size("removed") > 0, F.char_length("text")).otherwise(F.col("n_chars"))
+    out = line_dedup.dedup(docs.select(COLUMNS)).filter((F.size("lines_removed") == 0) | (F.trim("text") != ""))
+    n = F.when(F.size("lines_removed") > 0, F.char_length("text")).otherwise(F.col("n_chars"))
     return out.withColumn("n_chars", n.cast(docs.schema["n_chars"].dataType)).select(COLUMNS)
 
 
