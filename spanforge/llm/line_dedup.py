@@ -36,8 +36,8 @@ SHINGLE, BANDS, ROWS, PERCENT = 10, 5, 3, 80
 BINS = BANDS * ROWS
 #: Expected number of a line's shingles in a bin that are looked at for its minimum; a bin without any borrows.
 DEPTH = 4
-#: Stars around other lines of a key, before blocks of so many lines are compared pair by pair; cells of the bound on a pair.
-STARS, BLOCK, CELLS = 3, 512, 32
+#: Stars around other lines of a key, before blocks of so many lines are compared pair by pair; longs of a line's bit map.
+STARS, BLOCK, LONGS = 3, 512, 64
 
 
 def _norm(line: Column) -> Column:
@@ -150,11 +150,13 @@ def _mixed(member: DataFrame, comp: DataFrame) -> DataFrame:
     return materialize(rows.join(keys.filter("lo <> hi and size > 2").select("key", "size"), "key"), "line_mixed")
 
 
-def _counted(sets: DataFrame) -> DataFrame:
-    """node, set, s0 ... : how many shingles of a set fall in each of ``CELLS`` cells of their hashes, four counts of 15 bits to a sum."""
-    cells = sets.select("node", F.explode("set").alias("h")).select("node", (F.shiftrightunsigned("h", 40) % CELLS).cast("int").alias("cell"))
-    cells = cells.select("node", F.shiftright("cell", 2).alias("word"), F.expr("shiftleft(1L, (cell & 3) * 15)").alias("one"))
-    return sets.join(cells.groupBy("node").agg(*[F.sum(F.when(F.col("word") == k, F.col("one")).otherwise(0)).alias(f"s{k}") for k in range(CELLS // 4)]), "node")
+def _mapped(sets: DataFrame) -> DataFrame:
+    """``sets`` and b0 ... : a map of 64 * ``LONGS`` bits, one set where a shingle's hash points. Bits that differ between two lines are at most as
+    many as shingles that differ."""
+    at = sets.select("node", "set").repartition("node").select("node", F.explode("set").alias("h"))
+    at = at.select("node", (F.shiftrightunsigned("h", 40) % LONGS).cast("int").alias("long"), F.expr("shiftleft(1L, cast(h & 63 as int))").alias("bit"))
+    at = at.groupBy("node", "long").agg(F.bit_or("bit").alias("bits"))
+    return sets.join(at.groupBy("node").agg(*[F.max(F.when(F.col("long") == k, F.col("bits"))).alias(f"b{k}") for k in range(LONGS)]), "node")
 
 
 def _linked(member: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
@@ -166,7 +168,7 @@ def _linked(member: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     mixed = _mixed(member, comp)
     own = mixed.groupBy("node").agg(*[F.max(F.when(F.col("band") == b, F.col("key"))).alias(f"k{b}") for b in range(BANDS)])
     sets = materialize(texts.join(own, "node").select("node", _set(F.col("norm")).alias("set"), *[f"k{b}" for b in range(BANDS)]), "line_sets")
-    sets, plain = materialize(_counted(sets), "line_sets"), sets
+    sets, plain = materialize(_mapped(sets), "line_sets"), sets
     discard(plain)
     for step in (_pivots, _block_links):
         if mixed.isEmpty():
@@ -193,18 +195,18 @@ def _pivots(mixed: DataFrame) -> DataFrame:
 
 def _block_links(mixed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """(a, b): similar lines of different components that share a key. Every such pair is compared once, at its first shared key, in the
-    condition of a join of blocks: by the counts of cells, which bound the intersection from above, then by the sets. Only
-    links come out."""
+    condition of a join of blocks: by the bit maps, which bound the difference from below, then by the sets. Only links come
+    out. Both sides are one shuffle, read twice: the condition tells which side of a block a row is on."""
     rows = mixed.join(sets, "node").withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("long")).withColumn("mine", F.pmod(F.xxhash64("node", "key"), F.col("blocks")))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     rows = rows.withColumns({"i": F.least("mine", "other"), "j": F.greatest("mine", "other"), "n": F.size("set")})
-    rows = rows.select("key", "i", "j", "mine", "band", "node", "component", "set", "n", *[f"k{b}" for b in range(BANDS)], *[F.coalesce(f"s{i}", F.lit(0)).alias(f"s{i}") for i in range(CELLS // 4)])
-    left, right = rows.filter("mine = i").alias("l"), rows.filter("mine = j").alias("r")
-    same = F.expr("l.key = r.key and l.i = r.i and l.j = r.j and l.component <> r.component and (l.i < l.j or l.node < r.node)")
+    maps = [F.coalesce(f"b{k}", F.lit(0)).alias(f"b{k}") for k in range(LONGS)]
+    rows = rows.select("key", "i", "j", "mine", "band", "node", "component", "set", "n", *[f"k{b}" for b in range(BANDS)], *maps)
+    left, right = rows.alias("l"), rows.alias("r")
+    same = F.expr("l.key = r.key and l.i = r.i and l.j = r.j and l.component <> r.component and l.mine - r.mine = l.i - r.j and (l.i < r.j or l.node < r.node)")
     first = F.expr(" and ".join(f"(l.band <= {b} or l.k{b} is null or r.k{b} is null or l.k{b} <> r.k{b})" for b in range(BANDS)))
-    cell = "(shiftright({0}.s{1}, {2}) & 32767)"
-    most = " + ".join(f"least({cell.format('l', i // 4, i % 4 * 15)}, {cell.format('r', i // 4, i % 4 * 15)})" for i in range(CELLS))
-    bound = F.expr(f"greatest(l.n, r.n) > 32767 or ({most}) * {100 + percent} >= {percent} * (l.n + r.n)")
+    differ = " + ".join(f"bit_count(l.b{k} ^ r.b{k})" for k in range(LONGS))  # at J >= p, at most (1 - p) / (1 + p) of both sizes
+    bound = F.expr(f"({differ}) * {100 + percent} <= {100 - percent} * (l.n + r.n)")
     exact = F.size(F.array_intersect("l.set", "r.set")) * (100 + percent) >= percent * (F.col("l.n") + F.col("r.n"))
     both = left.join(right, same & first & bound & exact)
     return materialize(both.select(F.col("l.node").alias("a"), F.col("r.node").alias("b")), "line_links")
