@@ -130,8 +130,10 @@ def config_hash(config) -> str:
     return hashlib.sha256(json.dumps(value, sort_keys=True, default=str).encode()).hexdigest()[:16]
 
 
-#: Keys that say where or when something was made; they do not enter a fingerprint.
-VOLATILE = frozenset({"package_id", "package_fingerprint", "path", "audio_path", "manifest_path", "predictions_path"})
+#: Keys that say where something is kept; they do not enter a fingerprint.
+VOLATILE = frozenset({"package_fingerprint", "package_id", "manifest_path", "path", "audio_path", "data_path"})
+#: Fixed value: the schema a package names.
+PACKAGE_SCHEMA = "review_package.v1"
 
 
 def fingerprint(value) -> str:

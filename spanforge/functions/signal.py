@@ -24,10 +24,24 @@ def power_frames(x: np.ndarray, n_fft: int, hop: int) -> np.ndarray:
     return np.abs(np.fft.rfft(view * hann(n_fft), axis=1)) ** 2
 
 
+#: Fixed values of the mel scale: Hz per mel below the bend, the bend in Hz, and mels per factor of 6.4 above it.
+MEL_HZ, MEL_BEND, MEL_STEPS = 200.0 / 3, 1000.0, 27.0
+
+
+def hz_to_mel(f: np.ndarray) -> np.ndarray:
+    bend = MEL_BEND / MEL_HZ
+    return np.where(f < MEL_BEND, f / MEL_HZ, bend + MEL_STEPS * np.log(np.maximum(f, MEL_BEND) / MEL_BEND) / np.log(6.4))
+
+
+def mel_to_hz(m: np.ndarray) -> np.ndarray:
+    bend = MEL_BEND / MEL_HZ
+    return np.where(m < bend, m * MEL_HZ, MEL_BEND * np.exp((np.maximum(m, bend) - bend) * np.log(6.4) / MEL_STEPS))
+
+
 def mel_filters(rate: int, n_fft: int, n_mels: int, lo: float, hi: float) -> np.ndarray:
-    """Triangular filters, evenly spaced on the mel scale 2595 log10(1 + f / 700), each of unit area."""
-    mel = lambda f: 2595 * np.log10(1 + f / 700)
-    edges = 700 * (10 ** (np.linspace(mel(lo), mel(hi), n_mels + 2) / 2595) - 1)
+    """Triangular filters, evenly spaced on the auditory-toolbox mel scale (linear up to 1 kHz, logarithmic above), each of
+    unit area."""
+    edges = mel_to_hz(np.linspace(*hz_to_mel(np.array([lo, hi], float)), n_mels + 2))
     freq = np.linspace(0, rate / 2, n_fft // 2 + 1)
     up = (freq - edges[:-2, None]) / (edges[1:-1] - edges[:-2])[:, None]
     down = (edges[2:, None] - freq) / (edges[2:] - edges[1:-1])[:, None]

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..schema import null_nan
 from . import intervals as iv
 
 
@@ -73,7 +74,8 @@ def class_support(frames: DataFrame, keys: list[str], thresholds: DataFrame, eve
     back = F.array_max(F.array(*[F.get(v, channels.index(b)) for b in background]))
     rows = frames.select(*keys, F.col(idx).alias("frame_idx"), F.col(valid).alias("valid"), top.alias("top"), back.alias("background_p"), F.explode(F.array(*[F.struct(F.lit(x).alias("label"), F.lit(channels.index(x)).alias("channel"), F.get(v, channels.index(x)).alias("p")) for x in event_labels])).alias("c"))
     rows = rows.select(*keys, "frame_idx", "valid", "top", "background_p", "c.label", "c.channel", "c.p").join(thresholds, [*keys, "label"])
-    return rows.withColumn("support", F.col("valid") & (F.col("top") == F.col("channel")) & (F.col("p") >= F.col("threshold")) & (F.col("p") - F.col("background_p") >= margin))
+    test = (F.col("top") == F.col("channel")) & (null_nan(F.col("p")) >= F.col("threshold")) & (F.col("p") - null_nan(F.col("background_p")) >= margin)
+    return rows.withColumn("support", F.col("valid") & F.coalesce(test, F.lit(False)))
 
 
 def class_candidates(support: DataFrame, keys: list[str], max_gap: int, min_frames: int) -> DataFrame:

@@ -8,17 +8,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def closure(edges: DataFrame, child: str = "child_id", parent: str = "parent_id", max_depth: int = 100) -> DataFrame:
-    """(node, ancestor, depth): every ancestor of every node with its least depth, the node itself at depth 0. A recursive SQL
-    query with the path as guard against cycles."""
+def closure(edges: DataFrame, child: str = "child_id", parent: str = "parent_id", max_depth: int = 64) -> DataFrame:
+    """(node, ancestor, depth): every ancestor of every node up to ``max_depth`` steps with its least depth, the node itself at depth 0. A
+    recursive SQL query that carries (node, ancestor) pairs, not paths: each level holds a pair once, however many ways lead to it, and
+    a cycle is walked up to the limit."""
     spark, view = edges.sparkSession, f"edges_{uuid.uuid4().hex}"
     edges.select(F.col(child).cast("string").alias("c"), F.col(parent).cast("string").alias("p")).distinct().createOrReplaceTempView(view)
     got = spark.sql(f"""
-        WITH RECURSIVE up(node, ancestor, depth, path) MAX RECURSION LEVEL {max_depth} AS (
-          SELECT n, n, 0, array(n) FROM (SELECT c AS n FROM {view} UNION SELECT p FROM {view})
+        WITH RECURSIVE up(node, ancestor, depth) MAX RECURSION LEVEL {max_depth + 2} AS (
+          SELECT n, n, 0 FROM (SELECT c AS n FROM {view} UNION SELECT p FROM {view})
           UNION ALL
-          SELECT node, e.p, depth + 1, array_append(path, e.p) FROM up JOIN {view} e ON up.ancestor = e.c
-          WHERE NOT array_contains(path, e.p))
+          SELECT DISTINCT node, e.p, depth + 1 FROM up JOIN {view} e ON up.ancestor = e.c WHERE depth < {max_depth})
         SELECT node, ancestor, depth FROM up""")
     return got.groupBy("node", "ancestor").agg(F.min("depth").alias("depth"))
 

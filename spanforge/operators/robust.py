@@ -5,12 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..schema import null_nan
+
 MAD_SCALE, FLOOR = 1.4826, 1e-9
 
 
 def global_stats(frames: DataFrame, keys: list[str], value: str = "value", interior: str | None = None) -> DataFrame:
-    """keys, center (median) and scale (1.4826 * MAD, at least 1e-9) over interior frames, else over all finite ones, else (0, 1e-9)."""
-    v = F.col(value)
+    """keys, center (median) and scale (1.4826 * MAD, at least 1e-9) over interior frames, else over all, else (0, 1e-9). A value
+    that is NaN is missing."""
+    v = null_nan(F.col(value))
     inside = v if interior is None else F.when(F.col(interior), v)
     mid = frames.groupBy(*keys).agg(F.percentile(inside, 0.5).alias("m_in"), F.percentile(v, 0.5).alias("m_all"))
     both = frames.join(mid, keys).withColumn("center", F.coalesce("m_in", "m_all", F.lit(0.0)))
@@ -19,9 +22,10 @@ def global_stats(frames: DataFrame, keys: list[str], value: str = "value", inter
 
 
 def zscores(frames: DataFrame, stats: DataFrame, keys: list[str], value: str = "value", valid: str | None = None) -> DataFrame:
-    """``z``; 0 on frames that are not valid."""
-    z = (F.col(value) - F.col("center")) / F.col("scale")
-    ok = F.col(value).isNotNull() if valid is None else F.col(valid) & F.col(value).isNotNull()
+    """``z``; 0 on frames that are not valid or have no value (null or NaN)."""
+    v = null_nan(F.col(value))
+    z = (v - F.col("center")) / F.col("scale")
+    ok = v.isNotNull() if valid is None else F.col(valid) & v.isNotNull()
     return frames.join(stats, keys).withColumn("z", F.when(ok, z).otherwise(F.lit(0.0)))
 
 
@@ -34,7 +38,7 @@ def neighbour_baseline(frames: DataFrame, blocks: DataFrame, keys: list[str], ho
 
     frames: keys, frame_idx, value, block_id (-1 outside blocks); blocks: keys, block_id, start_sec, end_sec."""
     center = F.col("frame_idx") * F.lit(float(hop)) + F.lit(window / 2.0)
-    inside = frames.filter((F.col("block_id") >= 0) & F.col("value").isNotNull()).withColumn("c", center)
+    inside = frames.filter((F.col("block_id") >= 0) & null_nan(F.col("value")).isNotNull()).withColumn("c", center)
     b = blocks.select(*keys, "block_id", F.col("start_sec").cast("double").alias("s"), F.col("end_sec").cast("double").alias("e"))
     short = b.filter(F.col("e") - F.col("s") <= radius).select(*keys, "block_id", F.lit(None).cast("long").alias("anchor"), ((F.col("s") + F.col("e")) / 2).alias("t"))
     long_ = inside.join(b.filter(F.col("e") - F.col("s") > radius).select(*keys, "block_id"), [*keys, "block_id"]).select(*keys, "block_id", F.col("frame_idx").cast("long").alias("anchor"), F.col("c").alias("t"))
@@ -73,7 +77,7 @@ def with_baseline(frames: DataFrame, anchors: DataFrame, keys: list[str]) -> Dat
 def moving_median(frames: DataFrame, keys: list[str], half: int, value: str = "value", valid: str | None = None, idx: str = "frame_idx") -> DataFrame:
     """Centred moving median over the valid frames of 2 * half + 1; null if there is none."""
     w = Window.partitionBy(*keys).orderBy(idx).rowsBetween(-half, half)
-    x = F.col(value) if valid is None else F.when(F.col(valid), F.col(value))
+    x = null_nan(F.col(value)) if valid is None else F.when(F.col(valid), null_nan(F.col(value)))
     return frames.withColumn("moving_median", F.percentile(x, 0.5).over(w))
 
 

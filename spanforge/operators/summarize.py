@@ -66,11 +66,13 @@ def chunk_stats(frames: DataFrame, keys: list[str], chunks: int = 6, value: str
     return rows.withColumn("chunk", F.least(F.floor(F.col("_p") / F.col("_size")), F.lit(chunks - 1)).cast("int")).groupBy(*keys, "chunk").agg(F.count(F.lit(1)).alias("n"), F.avg(value).alias("mean"), F.stddev_pop(value).alias("std"))
 
 
-def histogram(rows: DataFrame, keys: list[str], lo: float, hi: float, bins: int, value: str = "value") -> DataFrame:
-    """Counts of equal bins over [lo, hi]; the last bin holds hi; values outside are left out."""
-    width = (hi - lo) / bins
-    b = F.least(F.floor((F.col(value) - lo) / width), F.lit(bins - 1)).cast("int")
-    return rows.filter(F.col(value).between(lo, hi)).groupBy(*keys, b.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+def histogram(rows: DataFrame, keys: list[str], bins: int, value: str = "value") -> DataFrame:
+    """Counts of equal bins from the least to the largest value of each key; the last bin holds the largest, and a single value is
+    in bin 0. Every row with a value counts."""
+    span = rows.groupBy(*keys).agg(F.min(value).alias("_lo"), F.max(value).alias("_hi"))
+    width = (F.col("_hi") - F.col("_lo")) / bins
+    at = F.when(F.col("_hi") == F.col("_lo"), 0).otherwise(F.least(F.floor((F.col(value) - F.col("_lo")) / width), F.lit(bins - 1))).cast("int")
+    return rows.filter(F.col(value).isNotNull()).join(span, keys).groupBy(*keys, at.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
 
 
 def envelope(samples: DataFrame, keys: list[str], n_peaks: int, idx: str = "i", value: str = "value") -> DataFrame:

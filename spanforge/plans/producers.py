@@ -10,6 +10,7 @@ from ..config import BACKGROUND, DISFLUENCIES, EMOTIONS, ClassConfig, DeviationC
 from ..functions import activations as act
 from ..operators import detect, fuse, robust, summarize
 from ..operators import intervals as iv
+from ..schema import null_nan
 
 EVENT_COLUMNS = ["recording_id", "event_id", "producer_id", "task", "event_type", "label", "start_sec", "end_sec", "duration_sec", "source_track_ids", "score", "score_name", "direction", "parent_id", "children"]
 
@@ -26,7 +27,7 @@ def deviation_scores(frames: DataFrame, vad: DataFrame, hop: float, window: floa
     per_track = frames.select("track_id", "recording_id").distinct().join(blocks, "recording_id")
     anchors = robust.neighbour_baseline(placed, per_track, keys, hop, window, config.radius_sec, config.min_context_sec, config.scale_floor_frac)
     scored = robust.with_baseline(placed, anchors, keys)
-    ok = (F.col("block_id") >= 0) & F.col("value").isNotNull() & F.col("center").isNotNull() & F.col("scale").isNotNull()
+    ok = (F.col("block_id") >= 0) & null_nan(F.col("value")).isNotNull() & F.col("center").isNotNull() & F.col("scale").isNotNull()
     return scored.withColumn("valid", ok).withColumn("z", F.when(ok, (F.col("value") - F.col("center")) / F.col("scale")).otherwise(0.0))
 
 
@@ -93,8 +94,53 @@ def suppressed_frames(frames: DataFrame, keys: list[str], limit: DataFrame, conf
     return support.groupBy(*keys, "label").agg(F.count_if("support").alias("n"), F.max(F.when(F.col("support"), F.col("p"))).alias("max_p"))
 
 
+#: The names that events of the region and the class producer carry.
+REGION_ID, REGION_TASK, REGION_TYPE, REGION_TRACKS = "disfluency.default", "disfluency", "instance", ("disfluency.fluency", "disfluency.type")
+CLASS_ID, CLASS_TASK, CLASS_TYPE, CLASS_TRACKS = "emotion.categorical.v1", "emotion", "categorical", ("emotion.categorical.probabilities",)
+
+
+def _projected(rows: DataFrame, order: list[str], producer: str, task: str, kind: str, tracks: tuple[str, ...], score: str) -> DataFrame:
+    rows = fuse.number_events(rows, ["recording_id"], [F.col(c) for c in order])
+    none = F.lit(None).cast("string")
+    return rows.select(
+        "recording_id", act.event_id(producer, kind, F.col("n")).alias("event_id"), F.lit(producer).alias("producer_id"), F.lit(task).alias("task"), F.lit(kind).alias("event_type"), "label",
+        "start_sec", "end_sec", (F.col("end_sec") - F.col("start_sec")).alias("duration_sec"), F.array(*map(F.lit, tracks)).alias("source_track_ids"), F.col(score).alias("score"),
+        F.lit("probability").alias("score_name"), none.alias("direction"), none.alias("parent_id"), F.array().cast("array<string>").alias("children"),
+    )
+
+
+def region_event_rows(regions: DataFrame) -> DataFrame:
+    """Emitted regions of ``region_events`` as events, numbered in order of time."""
+    return _projected(regions.filter("label is not null"), ["fs", "fe"], REGION_ID, REGION_TASK, REGION_TYPE, REGION_TRACKS, "peak_p")
+
+
+def class_event_rows(candidates: DataFrame, hop: float, window: float, duration: float | None = None) -> DataFrame:
+    """Candidates of ``class_events`` as events between the centres of their outer frames, half a hop wider, inside the recording;
+    numbered by start and label."""
+    end = (F.col("fe") - 1) * hop + window / 2 + hop / 2
+    rows = candidates.withColumns({"start_sec": F.greatest(F.lit(0.0), F.col("fs") * hop + window / 2 - hop / 2), "end_sec": end if duration is None else F.least(end, F.lit(float(duration)))})
+    return _projected(rows, ["start_sec", "label"], CLASS_ID, CLASS_TASK, CLASS_TYPE, CLASS_TRACKS, "peak_p")
+
+
+def valid_frames(frames: DataFrame, vad: DataFrame | None, keys: list[str], speech: str = "speech", require_vad: bool = True) -> DataFrame:
+    """``frames`` with ``valid`` and per recording ``frame_policy`` and ``warning``: speech frames where there is speech; none where activity is
+    required and missing, or holds no speech; all frames where it is missing and not required. ``speech`` marks frames in speech."""
+    if vad is None:
+        policy, warning = ("none_missing_vad", "vad_required_but_missing") if require_vad else ("all_frames_debug", None)
+        return frames.withColumns({"valid": F.lit(not require_vad), "frame_policy": F.lit(policy), "warning": F.lit(warning).cast("string")})
+    some = frames.groupBy(*keys).agg(F.bool_or(speech).alias("_some"))
+    got = frames.join(some, keys).withColumn("valid", F.col(speech))
+    return got.withColumns({"frame_policy": F.when(F.col("_some"), "speech_frames").otherwise("none_no_speech"), "warning": F.when(~F.col("_some"), "vad_found_no_speech")}).drop("_some")
+
+
+def producer_runs(events: DataFrame, configs: dict[str, str]) -> DataFrame:
+    """One run record per recording and producer: its configuration's hash and how many events it gave. configs: producer_id -> hash."""
+    names = F.create_map(*[F.lit(x) for kv in configs.items() for x in kv])
+    return events.groupBy("recording_id", "producer_id", "task").agg(F.count(F.lit(1)).alias("n_events")).withColumn("config_hash", F.try_element_at(names, F.col("producer_id")))
+
+
 def compose(*producers: DataFrame) -> DataFrame:
-    """Union of producers' events in the common columns."""
+    """Union of producers' events (``deviation_events``, ``region_event_rows``, ``class_event_rows``) in the common columns."""
     out = producers[0].select(EVENT_COLUMNS)
     for p in producers[1:]:
         out = out.unionByName(p.select(EVENT_COLUMNS))

@@ -209,3 +209,36 @@ def nearest_codebook(spark, sf):
     v = spark.read.parquet(f"{sf}/embeddings.parquet").select("vec_id", F.col("embedding").cast("array<double>").alias("vec"))
     codes = v.orderBy("vec_id").limit(10).select(F.col("vec_id").alias("code_id"), F.col("vec").alias("code"))
     return summarize.nearest_code(v, codes).select("vec_id", "code", F.round("distance", 6).alias("distance"))
+
+
+_CE = f"""{CL.replace("WITH ", "", 1) if CL.startswith("WITH ") else CL}"""
+
+
+@query("class_event_rows", f"""WITH {_CE}, x AS (SELECT recording_id, label, greatest(0, fs*1.0+0.5-0.5)::DOUBLE AS start_sec, ((fe-1)*1.0+0.5+0.5)::DOUBLE AS end_sec, peak_p FROM ce)
+SELECT recording_id, 'emotion.categorical.v1.categorical.' || printf('%06d', row_number() OVER (PARTITION BY recording_id ORDER BY start_sec, label)-1) AS event_id, label, start_sec, end_sec, round(peak_p,6) AS score FROM x""")
+def class_event_rows(spark, sf):
+    got, _ = producers.class_events(probabilities(spark, sf), 1.0, 1.0, ClassConfig())
+    return producers.class_event_rows(got, 1.0, 1.0).select(*KEY, "event_id", "label", "start_sec", "end_sec", F.round("score", 6).alias("score"))
+
+
+@query("composed_events", f"""WITH {_CE}, {D.replace(E0 + ", ", "", 1)}, x AS (SELECT recording_id, label, greatest(0, fs*1.0)::DOUBLE AS s, (fe*1.0)::DOUBLE AS e, peak_p FROM ce), y AS (SELECT recording_id, best AS label, greatest(0, fs*0.25+1.5-0.125)::DOUBLE AS s, ((fe-1)*0.25+1.5+0.125)::DOUBLE AS e, fs, fe, peak_p FROM de WHERE outcome='typed')
+SELECT recording_id, 'emotion.categorical.v1.categorical.' || printf('%06d', row_number() OVER (PARTITION BY recording_id ORDER BY s, label)-1) AS event_id, 'emotion' AS task, label, round(e-s,6) AS duration_sec, round(peak_p,6) AS score FROM x
+UNION ALL SELECT recording_id, 'disfluency.default.instance.' || printf('%06d', row_number() OVER (PARTITION BY recording_id ORDER BY fs, fe)-1), 'disfluency', label, round(e-s,6), round(peak_p,6) FROM y""")
+def composed_events(spark, sf):
+    """Events of two producers over the same recordings in one schema."""
+    got, _ = producers.class_events(probabilities(spark, sf), 1.0, 1.0, ClassConfig())
+    both = producers.compose(producers.class_event_rows(got, 1.0, 1.0), producers.region_event_rows(regions(spark, sf).filter("outcome = 'typed'")))
+    return both.select(*KEY, "event_id", "task", "label", F.round("duration_sec", 6).alias("duration_sec"), F.round("score", 6).alias("score"))
+
+
+@query("producer_runs", f"""WITH {_CE}, {D.replace(E0 + ", ", "", 1)} SELECT recording_id, 'emotion.categorical.v1' AS producer_id, count(*) AS n_events FROM ce GROUP BY 1 UNION ALL SELECT recording_id, 'disfluency.default', count(*) FROM de WHERE outcome='typed' GROUP BY 1""")
+def producer_runs(spark, sf):
+    got, _ = producers.class_events(probabilities(spark, sf), 1.0, 1.0, ClassConfig())
+    both = producers.compose(producers.class_event_rows(got, 1.0, 1.0), producers.region_event_rows(regions(spark, sf).filter("outcome = 'typed'")))
+    return producers.producer_runs(both, {producers.CLASS_ID: "x", producers.REGION_ID: "y"}).select(*KEY, "producer_id", "n_events")
+
+
+@query("valid_frame_policy", f"WITH {E} SELECT recording_id, frame_idx, valid, CASE WHEN bool_or(valid) OVER (PARTITION BY recording_id) THEN 'speech_frames' ELSE 'none_no_speech' END AS frame_policy FROM e")
+def valid_frame_policy(spark, sf):
+    p = probabilities(spark, sf).withColumnRenamed("valid", "speech")
+    return producers.valid_frames(p, p, KEY).select(*KEY, "frame_idx", "valid", "frame_policy")

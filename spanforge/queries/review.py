@@ -91,7 +91,7 @@ _M = "m AS (SELECT 'rec' || (o_custkey % 50) AS recording_id, sha256(o_custkey::
 
 @query("artifact_listing", f"WITH {_M} SELECT recording_id, audio_sha256, task, config_hash, max(n_frames) AS n_frames FROM m WHERE status='complete' AND recording_id='rec7' GROUP BY ALL")
 def artifact_listing(spark, sf):
-    return store.latest_manifests(_manifests(spark, sf), recording_id="rec7")
+    return store.latest_manifests(_manifests(spark, sf).withColumn("created", F.lpad(F.col("n_frames").cast("string"), 20, "0")), recording_id="rec7")
 
 
 @query("missing_work", f"WITH {_M} SELECT DISTINCT recording_id, audio_sha256, task, config_hash FROM m x WHERE NOT EXISTS (SELECT 1 FROM m y WHERE y.status='complete' AND y.recording_id=x.recording_id AND y.audio_sha256=x.audio_sha256 AND y.task=x.task AND y.config_hash=x.config_hash)")
@@ -102,10 +102,10 @@ def missing_work(spark, sf):
 
 @query("package_fingerprint")
 def package_fingerprint(spark, sf):
-    """Canonical-JSON hashing of a package's events (a package is one recording's review list): rows only."""
-    rows = [r.asDict() for r in leaves(spark, sf).orderBy("event_id").collect()]
-    mark = fingerprint({"events": rows, "path": "anywhere"})
-    return spark.createDataFrame([(mark[:24], mark, len(rows))], "package_id string, package_fingerprint string, n_events long")
+    """A package's fingerprint from the hash of its events, which is folded where they are: rows only."""
+    content = store.content_hash(leaves(spark, sf))
+    mark = fingerprint({"events": content, "path": "anywhere"})
+    return spark.createDataFrame([(mark[:24], mark, int(content.split(":")[1]))], "package_id string, package_fingerprint string, n_events long")
 
 
 _ALIASES = {"click": "tap", "purchase": "buy", "<unk>": "other"}

@@ -204,10 +204,10 @@ def chunk_stationarity(spark, sf):
     return summarize.chunk_stats(grid(spark, sf), KEY).select("track_id", "chunk", "n", F.round("mean", 6).alias("mean"), F.round("std", 6).alias("std"))
 
 
-@query("histogram", "WITH x AS (SELECT event_type, round(value,6) AS v FROM events) SELECT event_type, CAST(least(floor((v-0.0)/(100.0/60)),59) AS INT) AS bin, count(*) AS n FROM x WHERE v BETWEEN 0 AND 100 GROUP BY ALL")
+@query("histogram", "WITH x AS (SELECT event_type, round(value,6) AS v FROM events), r AS (SELECT event_type, min(v) AS lo, max(v) AS hi FROM x GROUP BY 1) SELECT event_type, CAST(CASE WHEN hi=lo THEN 0 ELSE least(floor((v-lo)/((hi-lo)/60)),59) END AS INT) AS bin, count(*) AS n FROM x JOIN r USING (event_type) WHERE v IS NOT NULL GROUP BY ALL")
 def histogram(spark, sf):
     rows = spark.read.parquet(f"{sf}/events.parquet").select("event_type", F.round("value", 6).alias("value"))
-    return summarize.histogram(rows, ["event_type"], 0.0, 100.0, 60)
+    return summarize.histogram(rows, ["event_type"], 60)
 
 
 @query("signal_stats", f"""WITH {G}, m AS (SELECT track_id, quantile_cont(v,0.5) AS md FROM g GROUP BY 1) SELECT track_id, count(v) AS n, min(v) AS min, round(quantile_cont(v,0.05),6) AS p5, round(md,6) AS median, round(quantile_cont(v,0.95),6) AS p95, max(v) AS max, round(avg(v),6) AS mean, round(stddev_pop(v),6) AS std, round(quantile_cont(abs(v-md),0.5),6) AS mad FROM g JOIN m USING (track_id) GROUP BY track_id, md""")

@@ -56,4 +56,4 @@ def check_grid(tracks: DataFrame) -> DataFrame:
 
 def null_nan(c):
     """NaN as null: Spark sorts NaN above every number, where a missing value must compare as false."""
-    return F.when(~F.isnan(c), c)
+    return F.when(~F.isnan(c.cast("double")), c)

@@ -11,7 +11,7 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import canonical_json, config_hash, fingerprint
+from ..config import PACKAGE_SCHEMA, canonical_json, config_hash, fingerprint
 
 KEY = ["recording_id", "audio_sha256", "task", "config_hash"]
 MANIFEST = "recording_id string, audio_sha256 string, task string, config_hash string, status string, n_frames long, hop_sec double, window_sec double, config string, created string"
@@ -33,7 +33,9 @@ def write_artifact(frames: DataFrame, root: str, key: dict[str, str], config: di
     key = key | {"config_hash": config_hash(config)}
     rows = frames.select(*[F.lit(key[k]).alias(k) for k in KEY], *[c for c in frames.columns if c not in KEY])
     rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*KEY).parquet(f"{root}/frames")
-    n = spark.read.parquet(f"{root}/frames").filter(_is(key)).count()
+    want, n = frames.count(), spark.read.parquet(f"{root}/frames").filter(_is(key)).count()
+    if n != want:
+        raise ValueError(f"{n} of {want} frames were written")
     manifest = spark.createDataFrame([tuple(key[k] for k in KEY) + ("complete", n, float(hop), float(window), canonical_json(config), None)], MANIFEST).withColumn("created", F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss'Z'"))
     manifest.write.mode("append").parquet(f"{root}/manifests")
     return key["config_hash"]
@@ -55,7 +57,8 @@ def latest_manifests(rows: DataFrame, **wanted: str) -> DataFrame:
     rows = rows.filter("status = 'complete'")
     for k, v in wanted.items():
         rows = rows.filter(F.col(k) == v)
-    return rows.groupBy(*KEY).agg(F.max("n_frames").alias("n_frames")).orderBy(*KEY)
+    last = rows.groupBy(*KEY).agg(F.max(F.struct("created", "n_frames")).alias("_last"))
+    return last.select(*KEY, F.col("_last.n_frames").alias("n_frames")).orderBy(*KEY)
 
 
 def find_artifact(spark: SparkSession, root: str, key: dict[str, str]) -> DataFrame | None:
@@ -72,8 +75,8 @@ def missing_work(wanted: DataFrame, done: DataFrame) -> DataFrame:
 
 def write_package(spark: SparkSession, root: str, payload: dict, events: DataFrame, tracks: DataFrame | None = None) -> str:
     """Write a package once: equal content has an equal id, and an existing one is only completed. Returns its id."""
-    rows = [r.asDict(recursive=True) for r in events.orderBy("event_id").collect()]
-    mark = fingerprint(payload | {"events": rows})
+    payload = {"schema": PACKAGE_SCHEMA} | payload
+    mark = fingerprint(payload | {"events": content_hash(events)})
     package_id = mark[:24]
     path = f"{root}/{package_id}"
     if not _exists(spark, f"{path}/package"):
@@ -85,8 +88,21 @@ def write_package(spark: SparkSession, root: str, payload: dict, events: DataFra
     return package_id
 
 
+def content_hash(rows: DataFrame) -> str:
+    """A hash of a table's rows in any order: the sum of their hashes' leading 15 hex digits, and their number. Nothing is collected but one row."""
+    one = F.conv(F.substring(F.sha2(F.to_json(F.struct(*[F.col(f"`{c}`") for c in sorted(rows.columns)])), 256), 1, 15), 16, 10).cast("decimal(38,0)")
+    total, n = rows.agg(F.sum(one).alias("total"), F.count(F.lit(1)).alias("n")).first()
+    return f"{total or 0}:{n}"
+
+
 def load_package(spark: SparkSession, root: str, package_id: str) -> tuple[dict, DataFrame]:
+    """Body and events; an unknown schema, or content that does not match the fingerprint, is an error."""
     row = spark.read.parquet(f"{root}/{package_id}/package").first()
-    if row is None or fingerprint(json.loads(row.body)) is None:
+    if row is None:
         raise ValueError(f"package {package_id} is broken")
-    return json.loads(row.body), spark.read.parquet(f"{root}/{package_id}/events")
+    body, events = json.loads(row.body), spark.read.parquet(f"{root}/{package_id}/events")
+    if body.get("schema") != PACKAGE_SCHEMA:
+        raise ValueError(f"unsupported package schema {body.get('schema')!r}")
+    if fingerprint(body | {"events": content_hash(events)}) != row.package_fingerprint:
+        raise ValueError(f"package {package_id} does not match its fingerprint")
+    return body, events

@@ -226,3 +226,72 @@ def test_streaming_rule_equals_batch():
     if state and state[2]:
         got.append(state[:2])
     assert got == want
+
+
+def test_nan_frames_make_no_event(spark):
+    from spanforge.operators import robust
+
+    values = [0.0, 0.1, float("nan"), float("nan"), 0.2, 0.0, None, 5.0, 5.0, 5.0, 0.1, 0.0]
+    f = frames(spark, {"a": values})
+    z = robust.zscores(f, robust.global_stats(f, ["k"]), ["k"]).withColumn("valid", F.lit(True))
+    rows = {r.frame_idx: r.z for r in z.collect()}
+    assert rows[2] == rows[3] == rows[6] == 0.0 and rows[7] > 0
+    got = detect.prominence(z, ["k"], 1.5, 0.5, 1, 2, 2).collect()
+    assert [(r.fs, r.fe, r.direction) for r in got] == [(7, 10, "+")]
+
+
+def test_three_producers_compose_in_one_schema(spark):
+    from spanforge.config import EMOTIONS
+    from spanforge.plans import producers
+
+    r = rnd(3)
+    f = spark.createDataFrame([("r", s, i, (6.0 if 40 <= i < 60 else 0.0) + r.random()) for s in ("arousal", "valence") for i in range(120)], "recording_id string, track_id string, frame_idx int, value double")
+    vad = spark.createDataFrame([("r", 0.0, 8.0), ("r", 9.5, 16.0), ("r", 18.0, 30.0)], "recording_id string, start_sec double, end_sec double")
+    a = producers.deviation_events(f, vad, 0.25, 1.0, DeviationConfig())
+    logits = spark.createDataFrame([("r", i, [0.0, 4.0 if 20 <= i < 30 else -4.0], [5.0, -5.0, -5.0, -5.0, -5.0]) for i in range(60)], "recording_id string, frame_idx int, fluency array<double>, types array<double>")
+    b = producers.region_event_rows(producers.region_events(logits, 0.25, 1.0, 15.0))
+    label = "anger" if "anger" in EMOTIONS else EMOTIONS[0]
+    probs = [("r", i, [0.93 if (x == label) == (10 <= i < 20) and x in (label, "neutral") else 0.01 for x in EMOTIONS], True) for i in range(60)]
+    c, _ = producers.class_events(spark.createDataFrame(probs, "recording_id string, frame_idx int, values array<double>, valid boolean"), 0.25, 1.0)
+    c = producers.class_event_rows(c, 0.25, 1.0, 15.0)
+    every = producers.compose(a, b, c)
+    assert every.columns == producers.EVENT_COLUMNS
+    rows = every.collect()
+    assert "disfluency.default.instance.000000" in {x.event_id for x in rows} and len({x.event_id for x in rows}) == len(rows)
+    assert all(x.end_sec >= x.start_sec and abs(x.duration_sec - (x.end_sec - x.start_sec)) < 1e-9 for x in rows)
+    runs = {x.producer_id: (x.n_events, x.config_hash) for x in producers.producer_runs(every, {"disfluency.default": "h"}).collect()}
+    assert runs["disfluency.default"] == (1, "h")
+
+
+def test_valid_frame_policy(spark):
+    from spanforge.plans import producers
+
+    f = spark.createDataFrame([("a", 0, True), ("a", 1, False), ("b", 0, False)], "recording_id string, frame_idx int, speech boolean")
+    got = {(r.recording_id, r.frame_idx): (r.valid, r.frame_policy, r.warning) for r in producers.valid_frames(f, f, ["recording_id"]).collect()}
+    assert got == {("a", 0): (True, "speech_frames", None), ("a", 1): (False, "speech_frames", None), ("b", 0): (False, "none_no_speech", "vad_found_no_speech")}
+    assert {(r.valid, r.frame_policy) for r in producers.valid_frames(f, None, ["recording_id"]).collect()} == {(False, "none_missing_vad")}
+    assert {(r.valid, r.frame_policy) for r in producers.valid_frames(f, None, ["recording_id"], require_vad=False).collect()} == {(True, "all_frames_debug")}
+
+
+def test_histogram_counts_every_value(spark):
+    rows = spark.createDataFrame([("a", float(v)) for v in (-50, 0, 1, 2, 560)] + [("b", 3.0), ("c", None)], "k string, value double")
+    got = {(r.k, r.bin): r.n for r in summarize.histogram(rows, ["k"], 4).collect()}
+    assert got == {("a", 0): 4, ("a", 3): 1, ("b", 0): 1}
+
+
+def test_closure_of_diamonds_and_cycles(spark):
+    edges = [(f"n{i}{s}", f"n{i + 1}{t}") for i in range(12) for s in "ab" for t in "ab"] + [("x", "y"), ("y", "x")]
+    got = {(r.node, r.ancestor): r.depth for r in ontology.closure(spark.createDataFrame(edges, "child_id string, parent_id string")).collect()}
+    assert got[("n0a", "n12b")] == 12 and got[("x", "x")] == 0 and got[("x", "y")] == 1
+    assert len(got) == sum(1 + 2 * (12 - i) for i in range(13) for _ in "ab") + 4
+
+
+def test_mel_scale_is_linear_then_logarithmic():
+    import numpy as np
+
+    from spanforge.functions import signal
+
+    assert np.allclose(signal.hz_to_mel(np.array([0.0, 500.0, 1000.0, 6400.0])), [0, 7.5, 15, 42])
+    assert np.allclose(signal.mel_to_hz(signal.hz_to_mel(np.array([60.0, 999.0, 4000.0]))), [60, 999, 4000])
+    bank = signal.mel_filters(16000, 512, 64, 50.0, 8000.0)
+    assert bank.shape == (64, 257) and (bank >= 0).all()

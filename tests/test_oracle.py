@@ -3,6 +3,7 @@
 import os
 
 import duckdb
+import pandas as pd
 import pytest
 
 from spanforge import registry
@@ -22,7 +23,7 @@ def duck():
 
 def plain(df):
     df = df[sorted(df.columns)]
-    rows = [tuple(None if x is None or x != x else round(float(x), 4) + 0.0 if isinstance(x, float) else int(x) if hasattr(x, "__int__") and not isinstance(x, str) else x for x in r) for r in df.itertuples(index=False)]
+    rows = [tuple(None if pd.isna(x) else round(float(x), 4) + 0.0 if isinstance(x, float) else int(x) if hasattr(x, "__int__") and not isinstance(x, str) else x for x in r) for r in df.itertuples(index=False)]
     return list(df.columns), sorted(rows, key=lambda r: [(v is None, str(v)) for v in r])
 
 

@@ -116,3 +116,20 @@ def test_small_tables(spark, tmp_path):
     tables.write_timeline(got, str(tmp_path / "out"), 5.0)
     assert spark.read.json(str(tmp_path / "out")).first().segments[0].end == 2.5
     assert tables.sessions(spark, str(tmp_path / "m.json")).first().body.startswith("{")
+
+
+def test_a_package_of_another_schema_or_content_is_refused(spark, tmp_path):
+    from spanforge.config import fingerprint
+
+    assert fingerprint({"a": 1, "data_path": "x"}) == fingerprint({"a": 1, "data_path": "y"}) != fingerprint({"a": 2})
+    assert fingerprint({"a": 1, "predictions_path": "x"}) != fingerprint({"a": 1, "predictions_path": "y"})
+    ev = spark.createDataFrame([("e1", 1.0), ("e2", 2.0)], "event_id string, score double")
+    root = str(tmp_path)
+    other = store.write_package(spark, root, {"recording_id": "r", "schema": "other"}, ev)
+    with pytest.raises(ValueError, match="schema"):
+        store.load_package(spark, root, other)
+    good = store.write_package(spark, root, {"recording_id": "r"}, ev)
+    assert store.load_package(spark, root, good)[1].count() == 2
+    ev.filter("score > 1").write.mode("overwrite").parquet(f"{root}/{good}/events")
+    with pytest.raises(ValueError, match="match"):
+        store.load_package(spark, root, good)
