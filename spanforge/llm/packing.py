@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from itertools import filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -49,26 +50,28 @@ class WordIds(dict):
     def _ids(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def learn(self, words: set[bytes]) -> None:
-        new = [w for w in words if w not in self]
-        if len(self) + len(new) > self.limit:
-            old = [w for w in list(self)[: self.limit // 2] if w not in words]
-            for w in old:
+    def learn(self, texts: list[list[bytes]]) -> None:
+        """Have the ids of all words of some texts."""
+        if len(self) > self.limit:
+            for w in list(self)[: self.limit // 2]:
                 del self[w]
-        plain = [w.decode("utf-8", "replace") for w in new]
-        for at in range(0, len(new), 256):
-            part = plain[at : at + 256]
-            if self.mark is not None and not any(self.MARK in w for w in part):
-                ids = np.array(self._ids([f" {self.MARK} ".join(part)])[0], dtype="<u4")
+        new: set[bytes] = set()
+        for words in texts:
+            new.update(filterfalse(self.__contains__, words))
+        self._encode(list(new))
+
+    def _encode(self, new: list[bytes]) -> None:
+        for at in range(0, len(new), 2048):
+            part = new[at : at + 2048]
+            text = f" {self.MARK} ".encode().join(part)
+            if self.mark is not None and text.count(self.MARK.encode()) == len(part) - 1:
+                ids = np.array(self._ids([text.decode("utf-8", "replace")])[0], dtype="<u4")
                 cut = np.flatnonzero(ids == self.mark)
                 if len(cut) == len(part) - 1:
-                    raw = ids.tobytes()
-                    lo = np.r_[0, cut + 1] * 4
-                    hi = np.r_[cut, len(ids)] * 4
-                    for w, i, j in zip(new[at : at + 256], lo.tolist(), hi.tolist(), strict=True):
-                        self[w] = raw[i:j]
+                    lo, hi = (np.r_[0, cut + 1] * 4).tolist(), (np.r_[cut, len(ids)] * 4).tolist()
+                    self.update(zip(part, map(ids.tobytes().__getitem__, map(slice, lo, hi)), strict=True))
                     continue
-            for w, x in zip(new[at : at + 256], self._ids(part), strict=True):
+            for w, x in zip(part, self._ids([w.decode("utf-8", "replace") for w in part]), strict=True):
                 self[w] = np.array(x, dtype="<u4").tobytes()
 
 
@@ -84,15 +87,39 @@ def word_ids(path: str) -> WordIds:
     return _IDS[path]
 
 
+def _table(values) -> np.ndarray:
+    out = np.zeros(256, bool)
+    out[list(values)] = True
+    return out
+
+
+_SPACE, _MARKS, _PLAIN = _table(b" \t\n\v\f\r"), _table(b".,!?;:"), _table(b"abcdefghijklmnopqrstuvwxyz0123456789")
+_LEAD, _NEXT = _table(range(0xC3, 0xCA)), _table(range(0x80, 0xC0))
+
+
+def _split(text: str | None) -> list[bytes]:
+    """Words of a text, ASCII lower case. Punctuation that ends a word behind an ASCII letter or digit or a letter of U+00C0 to U+024F is a
+    word of its own: the tokenizer parts them too, and so fewer words are new."""
+    raw = (text or "").encode("utf-8", "surrogatepass").lower()
+    x = np.frombuffer(raw, np.uint8)
+    at = np.flatnonzero(_MARKS[x])
+    at = at[(at > 1) & _SPACE[x[np.minimum(at + 1, len(x) - 1)]]] if len(at) else at
+    if len(at):
+        last, lead = x[at - 1], x[at - 2]
+        sign = (lead == 0xC3) & ((last == 0x97) | (last == 0xB7))  # the multiplication and division signs
+        at = at[_PLAIN[last] | (_LEAD[lead] & _NEXT[last] & ~sign)]
+    return (np.insert(x, at, 32).tobytes() if len(at) else raw).split()
+
+
 def tokenize(texts: list[str | None], path: str, end_id: int = END_ID) -> list[bytes]:
     """Each text's ids and the end id, as little-endian uint32 bytes."""
     ids = word_ids(path)
-    split = [(t or "").encode("utf-8", "surrogatepass").lower().split() for t in texts]
+    split = [_split(t) for t in texts]
     end = np.array([end_id], dtype="<u4").tobytes()
     out = []
-    for at in range(0, len(split), 64):
-        part = split[at : at + 64]
-        ids.learn(set().union(*part))
+    for at in range(0, len(split), 256):
+        part = split[at : at + 256]
+        ids.learn(part)
         out += [b"".join([*map(ids.__getitem__, w), end]) for w in part]
     return out
 
