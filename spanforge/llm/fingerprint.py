@@ -8,7 +8,7 @@ are packed into one long, so that a sample is a plain ``min`` that Spark aggrega
 
 Scale: texts are dealt once, by runs of 2**``RUN_BITS`` consecutive ids; words are exploded, counted and sampled in the task that holds
 their document, with no exchange between. A document's successor comes from its run, or for a run's last document from
-the next run's first; run tables are walked in levels, so that no window holds more than a bounded part of the ids.
+the next run's first; runs are dealt by ranges, so that no window without a key holds more than a row per partition.
 
 Defined results: null text = empty text, whose fingerprint is ''; two empty texts are alike (1), an empty one is unlike any
 other (0); equal texts have equal fingerprints; rows with a null doc_id are left out (they have no place in the
@@ -34,7 +34,7 @@ def _uniform(h: Column, shift: int) -> Column:
 
 
 def fingerprints(texts: DataFrame, keys: list[str], text: str, samples: int = SAMPLES) -> DataFrame:
-    """keys and ``sample`` (array of ``samples`` longs; null for a text without words). ``keys`` must identify a row; if the rows
+    """keys and ``sample`` (the marks of ``samples`` samples; null for a text without words). ``keys`` must identify a row; if the rows
     are dealt by the first of them, nothing is shuffled."""
     words = texts.select(*keys, F.explode(F.split(F.lower(text), SPACE)).alias("w")).filter("w <> ''")
     counts = words.select(*keys, F.xxhash64("w").alias("term")).groupBy(*keys, "term").agg(F.count(F.lit(1)).alias("s"))
@@ -49,30 +49,34 @@ def fingerprints(texts: DataFrame, keys: list[str], text: str, samples: int = SA
         packed = F.shiftleft(((a + 64.0) * float(2**30)).cast("long"), 24).bitwiseOR(F.shiftrightunsigned(g, 40))
         values.append(F.min(packed).alias(f"v{k}"))
     least = counts.groupBy(*keys).agg(*values)
-    return least.select(*keys, F.array(*[F.col(f"v{k}") for k in range(samples)]).alias("sample"))
+    return least.select(*keys, marks(F.array(*[F.col(f"v{k}") for k in range(samples)])).alias("sample"))
 
 
-def digest(sample: Column, samples: int = SAMPLES) -> Column:
-    """16 bits of each sample, as hex; '' without words."""
-    return F.coalesce(F.array_join(F.transform(sample, lambda v: F.lpad(F.hex(F.xxhash64(v).bitwiseAND(F.lit(0xFFFF))), 4, "0")), ""), F.lit(""))
+def marks(sample: Column) -> Column:
+    """16 bits of each sample: what a fingerprint holds."""
+    return F.transform(sample, lambda v: F.xxhash64(v).bitwiseAND(F.lit(0xFFFF)))
+
+
+def digest(mark: Column) -> Column:
+    """A fingerprint: its marks as hex; '' without words."""
+    return F.coalesce(F.array_join(F.transform(mark, lambda v: F.lpad(F.hex(v), 4, "0")), ""), F.lit(""))
 
 
 def likeness(a: Column, b: Column, samples: int = SAMPLES) -> Column:
-    """Share of equal samples; two texts without words are alike."""
+    """Share of equal marks of two fingerprints; two texts without words are alike."""
     same = F.size(F.filter(F.zip_with(a, b, lambda x, y: x == y), lambda x: x)).cast("double") / samples
     return F.when(a.isNull() & b.isNull(), 1.0).when(a.isNull() | b.isNull(), 0.0).otherwise(same)
 
 
 def _next_run(runs: DataFrame) -> DataFrame:
-    """(run, next_run): the next lower run, for the lowest the highest. Windows over groups of 2**16 runs; the last one is over the
-    groups alone (one row per 2**(16 + RUN_BITS) ids)."""
-    runs = runs.withColumn("grp", F.shiftright("run", 16))
-    inside = Window.partitionBy("grp").orderBy(F.col("run").desc())
-    runs = runs.withColumn("next_run", F.lead("run").over(inside))
-    tops = runs.groupBy("grp").agg(F.max("run").alias("top"))
-    order = Window.orderBy(F.col("grp").desc())
-    tops = tops.withColumn("below", F.coalesce(F.lead("top").over(order), F.max("top").over(Window.partitionBy()))).select("grp", "below")
-    return runs.join(tops, "grp").select("run", F.coalesce("next_run", "below").alias("next_run"))
+    """(run, next_run): the next lower run, for the lowest the highest. Runs are dealt by ranges, however sparse the ids are; one window
+    goes inside the ranges, one over the ranges' first runs (one row per partition)."""
+    dealt = materialize(runs.repartitionByRange(F.col("run").desc()).withColumn("part", F.spark_partition_id()), "runs")
+    tops = dealt.groupBy("part").agg(F.max("run").alias("top"))
+    below = F.coalesce(F.lead("top").over(Window.orderBy(F.col("top").desc())), F.max("top").over(Window.partitionBy()))
+    tops = tops.select("part", below.alias("below"))
+    inside = dealt.withColumn("next_run", F.lead("run").over(Window.partitionBy("part").orderBy(F.col("run").desc())))
+    return inside.join(tops, "part").select("run", F.coalesce("next_run", "below").alias("next_run"))
 
 
 def successors(docs: DataFrame) -> DataFrame:
