@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from spanforge.llm import line_dedup, mixing, ngram_join, packing, quality
@@ -44,10 +44,14 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it (0 to 3 times)."""
     docs = docs.select(COLUMNS)
-    taken = mixing.mix(docs).groupBy("doc_id", "source", "size").agg(F.max("copies").alias("copies"))
-    taken = taken.select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size"), F.explode(F.expr("array_repeat(0, cast(copies as int))")).alias("_copy"))
+    taken = mixing.mix(docs).groupBy("doc_id", "source", "size").agg(F.sum("copies").alias("_copies"), F.count(F.lit(1)).alias("_rows")).filter("_copies > 0")
+    taken = taken.withColumnsRenamed({"doc_id": "_id", "source": "_source", "size": "_size"})
     sized = docs.withColumn("_words", mixing.n_words("text"))
-    return sized.join(taken, F.expr("doc_id <=> _id and source <=> _source and _words = _size")).select(COLUMNS)
+    got = sized.join(taken, F.expr("doc_id <=> _id and source <=> _source and _words = _size"))
+    # rows that share id, source and size share the copies that the mix gave them
+    several = got.filter("_rows > 1").withColumn("_at", F.row_number().over(Window.partitionBy("_id", "_source", "_size").orderBy("text")))
+    got = got.filter("_rows = 1").withColumn("_at", F.lit(1)).unionByName(several)
+    return got.withColumn("_copy", F.explode(F.expr("array_repeat(0, cast(_copies div _rows + if(_at <= _copies % _rows, 1, 0) as int))"))).select(COLUMNS)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

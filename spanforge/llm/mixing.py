@@ -7,8 +7,8 @@ undecided ones of all shards fly again per source, and the last two are rounded
 total is nearest.
 
 Scale: sizes are computed where the rows are read; only (source, doc_id, size) is shuffled. A source is dealt over
-shards by a hash of doc_id, so a hot source has as many shards as its rows need (``SHARD_ROWS``); the second flight has
-at most two rows per shard. Reruns agree: a shard's order and its random numbers come from doc_id and a fixed seed.
+shards by a hash of doc_id, so a hot source has as many shards as its rows need (``SHARD_ROWS``); what a shard leaves (two rows at
+most) flies in shards again until a source's rest is one shard. Reruns agree: a shard's order and its random numbers come from doc_id and a fixed seed.
 Defined results: null text has size 0 (taken 0); a null source is a source of its own, the last; an empty table gives
 no rows; repeated rows count each; extra columns are ignored.
 """
@@ -111,7 +111,7 @@ def _mix_shards(rows: DataFrame, keys: list[str], final: bool) -> DataFrame:
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: float = CAP, shard_rows: int = SHARD_ROWS) -> DataFrame:
     """doc_id, source, size, source_size, target, copies, taken (copies * size) for every document."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), n_words("text").alias("size"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), n_words("text").alias("size"), F.when(F.col("doc_id").isNull(), F.xxhash64(F.col("text").cast("string"))).otherwise(0).alias("n"))
     rows = materialize(rows, "mix_sizes")
     per = targets(rows, weights, cap)
     counts = rows.groupBy("source").agg(F.count(F.lit(1)).alias("n_docs"))
@@ -122,15 +122,23 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: float = CAP, s
     rows = rows.join(per, F.expr("r.source <=> s.source")).select(
         "doc_id", F.col("r.source").alias("source"), "size", "source_size", "target",
         F.floor("expected").cast("long").alias("whole"), (F.col("expected") - F.floor("expected")).alias("p"),
-        F.pmod(F.xxhash64("doc_id"), F.col("shards")).alias("shard"), F.lit(1).cast("long").alias("n"),
+        F.pmod(F.xxhash64("doc_id", "n"), F.col("shards")).alias("shard"), "n",
         F.xxhash64(F.coalesce(F.col("r.source"), F.lit("\0null"))).alias("seed"),
     )
-    # repeated (doc_id, size) rows stay apart: n numbers nothing, it only keeps the schema of a group
+    # n tells rows without an id apart by their texts; equal rows are equal units
     rows = rows.withColumn("seed", F.xxhash64("seed", "shard"))
     first = materialize(_mix_shards(rows, ["source", "shard"], False), "mix_flight")
     undecided = (F.col("p") > 0) & (F.col("p") < 1)
-    last = _mix_shards(first.filter(undecided).withColumn("seed", F.xxhash64(F.coalesce("source", F.lit("\0null")))), ["source"], True)
-    done = first.filter(~undecided).unionByName(last)
+    done, rest, level = first.filter(~undecided), first.filter(undecided), 0
+    name = F.coalesce("source", F.lit("\0null"))
+    while (rest.groupBy("source").count().agg(F.max("count")).first()[0] or 0) > shard_rows:  # what is left flies in shards again
+        level += 1
+        left = rest.groupBy(F.col("source").alias("_s")).agg(F.ceil(F.count(F.lit(1)) / shard_rows).cast("long").alias("_n"))
+        rest = rest.join(left, F.expr("source <=> _s")).withColumn("shard", F.pmod(F.xxhash64("doc_id", "n", F.lit(level)), F.col("_n"))).drop("_s", "_n")
+        rest = materialize(_mix_shards(rest.withColumn("seed", F.xxhash64(name, "shard", F.lit(level))), ["source", "shard"], False), "mix_flight")
+        done, rest = done.unionByName(rest.filter(~undecided)), rest.filter(undecided)
+    last = _mix_shards(rest.withColumn("seed", F.xxhash64(name)), ["source"], True)
+    done = done.unionByName(last)
     copies = (F.col("whole") + F.col("p").cast("long")).alias("copies")
     return done.select("doc_id", "source", "size", "source_size", "target", copies).withColumn("taken", F.col("copies") * F.col("size"))
 
