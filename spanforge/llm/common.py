@@ -27,6 +27,8 @@ def shared_dir(spark: SparkSession) -> str:
         if got.isDefined():
             path = got.get()
         else:
+            if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+                raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
             import tempfile
 
             path = f"file://{tempfile.mkdtemp(prefix='spanforge_ck')}"

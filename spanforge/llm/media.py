@@ -5,7 +5,8 @@
 (``mapInArrow``): no shuffle, memory bounded by an Arrow batch.
 
 Defined results: null text = empty text (64 zero bytes are stored); an empty or broken GIF yields no frames and its
-``error``; equal texts give equal rows; extra columns of the input are ignored.
+``error``; equal texts give equal rows; null and repeated ids are kept as they come; extra columns of the input are ignored; an
+empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -25,6 +26,8 @@ from .common import documents
 #: Width of the stored image and rows of one frame: a frame holds at most 64 x 1024 samples.
 WIDTH, ROWS, DELAY_CS = 64, 1024, 10
 MAX_CODE = 4096
+#: Larger canvases and frames are refused as broken: a header of a few bytes can claim 4 billion pixels.
+MAX_PIXELS = 1 << 24
 
 
 def _widths(n: int, min_bits: int) -> np.ndarray:
@@ -164,6 +167,8 @@ def decode_gif(data: bytes, composite: bool = True) -> list[Frame]:
     if data[:6] not in (b"GIF87a", b"GIF89a") or len(data) < 13:
         raise ValueError("not a GIF")
     width, height, flags, background, _ = struct.unpack_from("<HHBBB", data, 6)
+    if width * height > MAX_PIXELS:
+        raise ValueError(f"canvas of {width} x {height} is too large")
     at = 13
 
     def palette(flag: int) -> np.ndarray:
@@ -206,6 +211,8 @@ def decode_gif(data: bytes, composite: bool = True) -> list[Frame]:
                     raise ValueError("no palette")
                 bits = data[at]
                 at += 1
+                if w * h > MAX_PIXELS or not 1 <= bits <= 8:
+                    raise ValueError(f"frame of {w} x {h} in {bits} bits")
                 flat = np.frombuffer(lzw_decode(sub_blocks(), bits, w * h), np.uint8)
                 if len(flat) < w * h:
                     raise ValueError("short frame")

@@ -8,7 +8,7 @@ and repetition marks by FTRL; its weights (2**BITS floats) are broadcast and eve
 
 A document is kept if its mean of posterior and score is at least ``KEEP``. Defined results: null or empty text has only
 abstentions, so the prior decides (kept); repeated rows score alike; an empty table gives an empty result; ids may be
-null (not sampled for training, scored nevertheless).
+null (not sampled for training, scored nevertheless); input columns named ``posterior``, ``score`` or ``keep`` are replaced, all others come back.
 """
 
 from __future__ import annotations

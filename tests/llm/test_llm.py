@@ -576,6 +576,49 @@ def test_op9_successors_cross_runs_and_gaps(spark):
     assert got == dict(zip(order, order[1:] + order[:1], strict=True))
 
 
+def test_op9_successors_of_sparse_ids(spark):
+    r = random.Random(2)
+    ids = [r.randrange(-(2**62), 2**62) for _ in range(500)]
+    got = {x.doc_id: x.next_id for x in fingerprint.successors(table(spark, [(i, str(i)) for i in ids])).collect()}
+    order = sorted(ids, reverse=True)
+    assert got == dict(zip(order, order[1:] + order[:1], strict=True))
+
+
+def test_op9_likeness_comes_from_the_returned_fingerprints(docs):
+    for x in fingerprint.fingerprint_documents(docs).collect():
+        a, b = ([s[i : i + 4] for i in range(0, len(s), 4)] for s in (x.fingerprint, x.edited_fingerprint))
+        want = 1.0 if not a and not b else 0.0 if not a or not b else sum(p == q for p, q in zip(a, b, strict=True)) / len(a)
+        assert x.near_edited == want
+
+
+def test_op1_refuses_impossible_sizes(spark):
+    import struct
+
+    bad = b"GIF89a" + struct.pack("<HHBBB", 65535, 65535, 0, 0, 0) + b"\x2c" + b"\0" * 9
+    small = b"GIF89a" + struct.pack("<HHBBB", 4, 4, 0x80, 0, 0) + b"\0" * 6 + b"\x2c" + struct.pack("<HHHHB", 0, 0, 65535, 65535, 0) + b"\x02\0\x3b"
+    got = media.frames(spark.createDataFrame([("a", bytearray(bad)), ("b", bytearray(small))], "doc_id string, media binary")).collect()
+    assert sorted(x.key for x in got) == ["a", "b"] and all(x.error for x in got)
+
+
+def test_op1_texts_over_one_frame(spark):
+    t = "".join(random.Random(1).choices("abcdé \n", k=150_000))
+    rows = media.store(table(spark, [(None, t), (1, t), (1, t)])).collect()
+    raw = t.encode()
+    assert len(rows) == 3 and len({(x.payload_sha256, x.media_sha256, x.feature) for x in rows}) == 1
+    assert rows[0].n_bytes == len(raw) and rows[0].payload_sha256 == hashlib.sha256(raw + b"\0" * (-len(raw) % 64)).hexdigest()
+    assert rows[0].feature.startswith(f"frames={-(-rows[0].payload_bytes // 65536)};")
+
+
+def test_op6_leftovers_fly_in_shards_again(spark):
+    r = random.Random(6)
+    rows = [(i if i % 9 else None, sentence(r, r.randrange(1, 30)), "en", "abc"[i % 3], 0) for i in range(900)]
+    got = mixing.mix(spark.createDataFrame(rows, DOCS), shard_rows=6).collect()
+    for s in "abc":
+        mine = [x for x in got if x.source == s]
+        assert abs(sum(x.taken for x in mine) - mine[0].target) <= 30 and all(x.copies <= 3 for x in mine)
+    assert len(got) == 900
+
+
 # lines
 
 

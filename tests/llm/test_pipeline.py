@@ -38,3 +38,13 @@ def test_stages_of_an_empty_table(spark):
 def test_registry_has_all_queries():
     names = list(registry.queries())
     assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+
+
+def test_mixing_gives_repeated_rows_what_the_mix_took(spark):
+    import corpus_pipeline
+    from spanforge.llm import mixing
+
+    rows = [(1, "one two three", "en", "a", 13)] * 5 + [(i, "four five", "en", "b", 9) for i in range(2, 12)] + [(None, "six", "en", "c", 3)] * 4
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    want = sum(x.copies for x in mixing.mix(docs).collect())
+    assert corpus_pipeline.mixing_stage(spark, docs, "").count() == want
