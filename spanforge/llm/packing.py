@@ -38,7 +38,7 @@ class WordIds(dict):
 
     MARK = "\x01"
 
-    def __init__(self, path: str, limit: int = 600_000):
+    def __init__(self, path: str, limit: int = 1_600_000):
         super().__init__()
         from tokenizers import Tokenizer
 
