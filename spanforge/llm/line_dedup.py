@@ -204,7 +204,7 @@ def _block_links(mixed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     rows = rows.select("key", "i", "j", "mine", "band", "node", "component", "set", "n", *[f"k{b}" for b in range(BANDS)], *maps)
     left, right = rows.alias("l"), rows.alias("r")
     same = F.expr("l.key = r.key and l.i = r.i and l.j = r.j and l.component <> r.component and l.mine - r.mine = l.i - r.j and (l.i < r.j or l.node < r.node)")
-    first = F.expr(" and ".join(f"(l.band <= {b} or l.k{b} is null or r.k{b} is null or l.k{b} <> r.k{b})" for b in range(BANDS)))
+    first = F.expr(" and ".join(f"(l.band + r.band <= {2 * b} or l.k{b} is null or r.k{b} is null or l.k{b} <> r.k{b})" for b in range(BANDS)))
     differ = " + ".join(f"bit_count(l.b{k} ^ r.b{k})" for k in range(LONGS))  # at J >= p, at most (1 - p) / (1 + p) of both sizes
     bound = F.expr(f"({differ}) * {100 + percent} <= {100 - percent} * (l.n + r.n)")
     exact = F.size(F.array_intersect("l.set", "r.set")) * (100 + percent) >= percent * (F.col("l.n") + F.col("r.n"))
