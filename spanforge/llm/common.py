@@ -122,6 +122,20 @@ def distinct(x: np.ndarray) -> np.ndarray:
     return x[np.r_[True, x[1:] != x[:-1]]] if len(x) else x
 
 
+#: What clears the word caches of each user, and whose are filled: a Python worker that is used again keeps one operator's at a time.
+_CACHES: dict = {}
+_OWNER: list = [None]
+
+
+def claim(user: str) -> None:
+    """Called where a task begins: other users' caches are dropped."""
+    if _OWNER[0] != user:
+        for other, clear in _CACHES.items():
+            if other != user:
+                clear()
+        _OWNER[0] = user
+
+
 class WordHash(dict):
     """word bytes -> 64-bit hash, kept for at most ``limit`` words."""
 
@@ -137,6 +151,7 @@ class WordHash(dict):
 
 
 WORDS = WordHash()
+_CACHES["words"] = WORDS.clear
 
 
 def word_list(text: str | None) -> list[bytes]:
@@ -145,6 +160,7 @@ def word_list(text: str | None) -> list[bytes]:
 
 
 def word_hashes(text: str | None) -> np.ndarray:
+    claim("words")
     w = word_list(text)
     return np.fromiter(map(WORDS.__getitem__, w), dtype=np.uint64, count=len(w))
 

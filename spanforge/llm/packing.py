@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import documents
+from .common import _CACHES, claim, documents
 
 MAX_TOKENS, MAX_SEGMENTS, MAX_LOSS, POOL = 4096, 128, 4096, 768
 END_ID = 2
@@ -76,9 +76,11 @@ class WordIds(dict):
 
 
 _IDS: dict[str, WordIds] = {}
+_CACHES["packing"] = _IDS.clear
 
 
 def word_ids(path: str) -> WordIds:
+    claim("packing")
     if path not in _IDS:
         import os
 

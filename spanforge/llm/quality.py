@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import distinct, documents, materialize
+from .common import _CACHES, claim, distinct, documents, materialize
 from .ftrl import Ftrl, sigmoid
 
 BITS, TRAIN_DOCS, EPOCHS, KEEP = 16, 6000, 3, 0.5
@@ -79,9 +79,11 @@ class _Words(dict):
 
 
 _WORDS = _Words()
+_CACHES["quality"] = _WORDS.clear
 
 
 def _codes(text: str | None) -> np.ndarray:
+    claim("quality")
     w = text.split() if text else []
     return np.fromiter(map(_WORDS.__getitem__, w), np.int64, len(w))
 
