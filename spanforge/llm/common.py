@@ -59,6 +59,17 @@ def materialize(df: DataFrame, tag: str, partition_by: list[str] | None = None)
     return out
 
 
+#: Rows of a batch that goes to a Python worker: texts can be long, and a worker keeps the memory of its largest batch.
+BATCH_ROWS = 1000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bound the rows of Arrow batches, for operators that send whole texts to Python."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
 def by_partition(df: DataFrame, run, ddl: str) -> DataFrame:
     """Apply ``run(table) -> iterator of record batches`` to each partition as one Arrow table. For rows that were
     dealt by a key with a bound on what shares it, so that a partition is a task's ordinary share."""

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import _CACHES, claim, documents
+from .common import _CACHES, claim, documents, small_batches
 
 MAX_TOKENS, MAX_SEGMENTS, MAX_LOSS, POOL = 4096, 128, 4096, 768
 END_ID = 2
@@ -209,6 +209,7 @@ def pack(docs: DataFrame, path: str | None = None, tokens: int = MAX_TOKENS, seg
         import public_tokenizers
 
         path = public_tokenizers.path(TOKENIZER)
+    small_batches(docs.sparkSession)
     schema = pa.schema([*_FIELDS, ("ids", pa.binary())]) if with_ids else _SCHEMA
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import _CACHES, claim, distinct, documents, materialize
+from .common import _CACHES, claim, distinct, documents, materialize, small_batches
 from .ftrl import Ftrl, sigmoid
 
 BITS, TRAIN_DOCS, EPOCHS, KEEP = 16, 6000, 3, 0.5
@@ -170,6 +170,7 @@ def features(code: np.ndarray, bits: int = BITS) -> tuple[np.ndarray, np.ndarray
 def judge(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> DataFrame:
     """doc_id, text and all other columns, with ``posterior`` (of the votes), ``score`` (of the scorer) and ``keep``."""
     spark = docs.sparkSession
+    small_batches(spark)
 
     def vote(text: pd.Series) -> pd.Series:
         return pd.Series([votes(t) for t in text], dtype="int32")
