@@ -28,18 +28,73 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import crc_mod, discard, documents, materialize, signed, word_hashes
+from .common import crc_mod, discard, documents, materialize, mix64, signed, small_batches
 
 #: Counts and divergence that the tree is made by.
 MIN_CONTEXT, MIN_NEXT, DISCOUNT, MIN_DIVERGENCE = 8, 2, 0.5, 0.02
 #: Shares of the training tokens from which a context or a sequence is broadcast; they decide where a number is looked up, not what it is.
 P_CONTEXT, P_JOINT = 1e-4, 3e-6
+#: Depth from which only the parts of texts that still hold counted contexts are read, and the words kept before those (four times as many once a depth needs more).
+CUT_FROM, KEPT_WORDS = 4, 16
 #: Hash of the end token: the empty word, which no text has.
 END = np.uint64(0x2D06800538D394C2)
 
 
-def _tokens(text: str | None) -> np.ndarray:
-    return np.append(word_hashes(text), END)
+#: Bytes of text that are cut into words at a time.
+CHUNK = 1 << 19
+_SPACE = np.zeros(256, bool)
+_SPACE[[0x20, *range(0x09, 0x0E)]] = True
+_BASE = 0x9E3779B97F4A7C15 - 2  # odd, and 3 modulo 8: its powers differ in low bits
+_BYTE = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD1B54A32D192ED03))
+_BYTE[0x41:0x5B] = _BYTE[0x61:0x7B]  # A-Z are a-z
+_POWERS: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+
+
+def _powers(n: int) -> list[np.ndarray]:
+    """At least n powers of the base, and of its inverse, modulo 2**64."""
+    if len(_POWERS[0]) < n:
+        for i, x in enumerate((_BASE, pow(_BASE, -1, 1 << 64))):
+            steps = np.full(max(n, CHUNK), np.uint64(x))
+            steps[0] = 1
+            _POWERS[i] = np.multiply.accumulate(steps)
+    return _POWERS
+
+
+def _words(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of texts that lie one after another in ``data``, with an end token after each text; tokens by text."""
+    begins = np.r_[0, ends[:-1]]
+    word = ~_SPACE[data]
+    before, after = np.r_[False, word[:-1]], np.r_[word[1:], False]
+    full = ends > begins
+    before[begins[full]], after[ends[full] - 1] = False, False
+    first, last = np.flatnonzero(word & ~before), np.flatnonzero(word & ~after)
+    power, inverse = _powers(len(data))
+    sums = np.cumsum(_BYTE[data] * power[: len(data)])
+    h = mix64((sums[last] - np.where(first > 0, sums[first - 1], np.uint64(0))) * inverse[first]) if len(first) else np.zeros(0, np.uint64)
+    n = np.diff(np.searchsorted(first, np.r_[0, ends]))
+    out = np.full(len(h) + len(ends), END)
+    out[np.arange(len(h)) + np.repeat(np.arange(len(ends)), n)] = h
+    return out, n + 1
+
+
+def _tokens(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(tokens, tokens by text) of runs of texts of about ``CHUNK`` bytes; null is empty."""
+    column = pa.concat_arrays([column.fill_null("").cast(pa.large_string())]) if len(column) else column
+    if not len(column):
+        return
+    _, offsets, data = column.buffers()
+    offsets = np.frombuffer(offsets, np.int64)[column.offset : column.offset + len(column) + 1]
+    data = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
+    at = 0
+    while at < len(column):
+        to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + CHUNK, "right")) - 1)
+        yield _words(data[offsets[at] : offsets[to]], offsets[at + 1 : to + 1] - offsets[at])
+        at = to
+
+
+def _places(lens: np.ndarray) -> np.ndarray:
+    """Position of each token in its text."""
+    return np.arange(lens.sum()) - np.repeat(np.cumsum(lens) - lens, lens)
 
 
 def _count(keys: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -76,15 +131,14 @@ class Counter:
             yield pa.RecordBatch.from_arrays([pa.array(self.key[at : at + step]), pa.array(self.n[at : at + step])], names=["key", "n"])
 
 
-def _counted(train: DataFrame, keys_of) -> DataFrame:
-    """(key, n) over all training texts; keys_of() gives a function from one text's tokens to int64 keys."""
+def _unigrams(train: DataFrame) -> DataFrame:
+    """(key, n) of the words of all training texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = Counter()
-        of = keys_of()
         for b in batches:
-            for t in b.column(0).to_pylist():
-                counter.add(of(_tokens(t)))
+            for tokens, _ in _tokens(b.column(0)):
+                counter.add(signed(tokens))
         yield from counter.batches()
 
     return train.mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
@@ -102,17 +156,17 @@ def _turn(x: np.ndarray) -> np.ndarray:
     return (x << np.uint64(23)) | (x >> np.uint64(41))
 
 
-def _sequences(tokens: np.ndarray, n: int) -> np.ndarray:
-    """Keys of all sequences of n tokens, by their first position (a cyclic polynomial of the word hashes)."""
-    m = max(len(tokens) - n + 1, 0)
-    out = tokens[:m]
-    for i in range(1, n):
-        out = _turn(out) ^ tokens[i : i + m]
+def _extended(keys: np.ndarray, tokens: np.ndarray, n: int) -> np.ndarray:
+    """Keys of the n words before each position, from those of the n - 1 words before it (a cyclic polynomial of the word hashes)."""
+    r = 23 * (n - 1) % 64
+    far = tokens[: max(len(tokens) - n, 0)]
+    out = keys.copy()
+    out[n:] ^= (far << np.uint64(r)) | (far >> np.uint64(64 - r)) if r else far
     return out
 
 
 def _longer(context: Column, symbol: Column) -> Column:
-    """The key of a context's sequence with one more symbol; the same in a column as in ``_sequences``."""
+    """The key of a context's sequence with one more symbol; the same in a column as in ``_extended``."""
     return F.shiftleft(context, 23).bitwiseOR(F.shiftrightunsigned(context, 41)).bitwiseXOR(symbol)
 
 
@@ -121,9 +175,9 @@ class KeyFilter:
 
     MAX_BITS = 27
 
-    def __init__(self, keys: DataFrame, column: str):
+    def __init__(self, keys: DataFrame, column: str, max_bits: int = MAX_BITS):
         self.size = keys.count()
-        self.shift = 64 - max(12, min(self.MAX_BITS, (self.size * 16).bit_length()))
+        self.shift = 64 - max(12, min(max_bits, (self.size * 16).bit_length()))
         slot = F.shiftrightunsigned(column, self.shift)
         got = keys.select(slot.alias("s")).groupBy(F.shiftright("s", 6).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(s & 63 as int))")).alias("b")).toArrow()
         words = np.zeros(1 << (64 - self.shift - 6), np.uint64)
@@ -145,7 +199,7 @@ class Tree:
         self.z = total + vocabulary + 1
         self.depth = 0
         self.keys, self.values = np.zeros(0, np.int64), np.zeros(0)  # of frequent sequences, in order
-        self.others: KeyFilter | None = None
+        self.stored: KeyFilter | None = None  # of all sequences that have a number
         self.contexts = [np.zeros(0, np.int64), np.zeros(0, np.int64)]
         self.pairs = [np.zeros(0, np.int64), np.zeros(0, np.int64)]  # context number << 32 | symbol number
         self.logp = [np.zeros(0), np.zeros(0)]
@@ -180,107 +234,276 @@ class Tree:
         below = self.prob(level - 1, context & 0xFFFFFFFF if level else None, symbol)
         return np.where(c < 0, below, np.where(at >= 0, 10 ** (self.logp[level][at] if len(self.logp[level]) else 0.0), 10 ** (self.backoff[level][c] if len(self.backoff[level]) else 0.0) * below))
 
-    def score(self, tokens: np.ndarray) -> tuple[float, float, int, np.ndarray]:
-        """(log10 P, log10 base P, known) of what the task knows, and the keys whose numbers are still to be added: rare words
-        and sequences that pass the filter."""
+    def score(self, tokens: np.ndarray, lens: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """By text: log10 P, log10 base P and known tokens, of what the task knows; and the keys whose numbers are still to be
+        added, with their texts: rare words, and sequences that pass the filter. A sequence has a number only if it has one
+        without its first word."""
+        begin, text, place = np.cumsum(lens) - lens, np.repeat(np.arange(len(lens)), lens), _places(lens)
         s = _find(self.symbols, signed(tokens))
         rare = s < 0
-        per = np.where(rare, 0.0, np.log10(self.counts[s] + 1.0)) if len(self.counts) else np.zeros(len(s))
-        base = float((per - np.log10(self.z)).sum())
-        out, more = base, [tokens[rare]]
-        for n in range(1, self.depth + 2):
-            keys = _sequences(tokens, n)
+        per = np.where(rare, 0.0, np.log10(self.counts + 1.0)[s]) if len(self.counts) else np.zeros(len(s))
+        base = np.add.reduceat(per, begin) - lens * np.log10(self.z)
+        known = np.add.reduceat((~rare & (self.counts[s] > 0)).astype(np.int64), begin) if len(self.counts) else np.zeros(len(lens), np.int64)
+        out, at = base.copy(), _find(self.keys, signed(tokens))
+        more, whose = [tokens[rare]], [text[rare]]
+        if len(self.keys):
+            out += np.add.reduceat(np.where(at < 0, 0.0, self.values[at]), begin)
+        end = np.arange(len(tokens))
+        keys = tokens
+        for n in range(2, self.depth + 2):
+            end, keys = end[place[end] >= n - 1], keys[place[end] >= n - 1]
+            r = np.uint64(23 * (n - 1) % 64)
+            far = tokens[end - (n - 1)]
+            keys = keys ^ ((far << r) | (far >> (np.uint64(64) - r)) if r else far)
+            passed = self.stored.passes(keys)
+            end, keys = end[passed], keys[passed]
+            if not len(end):
+                break
             at = _find(self.keys, signed(keys))
-            out += float(self.values[at[at >= 0]].sum())
-            if n > 1:
-                keys = keys[at < 0]
-                more.append(keys[self.others.passes(keys)])
-        return out, base, int(np.count_nonzero(~rare & (self.counts[s] > 0))) if len(self.counts) else 0, np.concatenate(more)
-
-
-def _counted_at(tokens: np.ndarray, filters: list[tuple[KeyFilter | None, KeyFilter]]) -> np.ndarray:
-    """Start positions of the contexts of len(filters) words whose followers are counted. filters: by depth, the contexts of one word
-    less that are extended, and the sequences of the depth that were counted one depth before and are frequent. A context
-    is left out if its suffix is not extended, or if it, or what it begins with, was counted and is rare."""
-    rare, counted = np.zeros(len(tokens), bool), np.ones(len(tokens), bool)
-    for depth, (grown, frequent) in enumerate(filters, 1):
-        keys = _sequences(tokens[:-1], depth)
-        rare, counted = rare[: len(keys)], counted[: len(keys)]
-        rare = rare | (counted & ~frequent.passes(keys))
-        counted = ~rare
-        if grown is not None:
-            counted &= grown.passes(_sequences(tokens[1:-1], depth - 1))
-    return np.flatnonzero(counted)
-
-
-def _followers(texts: DataFrame, filters: list[tuple[KeyFilter | None, KeyFilter]]) -> DataFrame:
-    """(context, symbol, suffix, n): what follows the contexts of len(filters) words."""
+            hot = at >= 0
+            out += np.bincount(text[end[hot]], weights=self.values[at[hot]], minlength=len(lens))
+            more.append(keys[~hot])
+            whose.append(text[end[~hot]])
+        return out, base, known, np.concatenate(more), np.concatenate(whose)
+
+
+def _begin(tokens: np.ndarray, place: np.ndarray, words: KeyFilter) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(keys, counted, rare) by position of the contexts of one word before it."""
+    keys = _extended(np.zeros(len(tokens), np.uint64), tokens, 1)
+    rare = ~words.passes(keys)
+    return keys, ~rare & (place > 0), rare
+
+
+def _deepen(tokens: np.ndarray, place: np.ndarray, now: tuple, depth: int, grown: KeyFilter, frequent: KeyFilter) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The same for contexts of ``depth`` words. grown: the contexts of one word less that are extended; frequent: the sequences of
+    the depth that were counted one depth before and are frequent. A context is left out if its suffix is not extended, or if
+    it, or what it begins with, was counted and is rare."""
+    keys, counted, rare = now
+    at = np.flatnonzero(counted)
+    longer = _extended(keys, tokens, depth)
+    after = at[at + 1 < len(tokens)] + 1
+    rare = np.r_[False, rare[:-1]]
+    rare[after[~frequent.passes(longer[after])]] = True
+    at = at[(place[at] >= depth) & ~rare[at]]
+    at = at[grown.passes(keys[at])]
+    counted = np.zeros(len(tokens), bool)
+    counted[at] = True
+    return longer, counted, rare
+
+
+def _contexts(texts: DataFrame, cut: tuple[DataFrame, int, int] | None):
+    """What to read for the contexts of a depth, and how: a function from a batch and the filters to (tokens, place, keys of one word less, keys,
+    counted, rare) of its runs of texts. cut: the parts of the texts that are left, the depth they are left for and the words kept before them."""
+    if cut is None:
+
+        def read(b: pa.RecordBatch, filters: list) -> Iterator[tuple]:
+            for tokens, lens in _tokens(b.column(0)):
+                place = _places(lens)
+                now, short = _begin(tokens, place, filters[0][1]), np.zeros(len(tokens), np.uint64)
+                for depth, (grown, frequent) in enumerate(filters[1:], 2):
+                    short, now = now[0], _deepen(tokens, place, now, depth, grown, frequent)
+                yield tokens, place, short, *now
+
+        return texts, read
+
+    from_depth = cut[1]
+
+    def again(b: pa.RecordBatch, filters: list) -> Iterator[tuple]:
+        for row in b.to_pylist():
+            tokens, flags = np.frombuffer(row["tokens"], np.uint64), np.frombuffer(row["flags"], np.uint8)
+            place = _places(np.frombuffer(row["lens"], np.int32).astype(np.int64))
+            keys = short = np.zeros(len(tokens), np.uint64)
+            for depth in range(1, from_depth + 1):
+                short, keys = keys, _extended(keys, tokens, depth)
+            now = keys, flags & 1 > 0, flags & 2 > 0
+            for depth, (grown, frequent) in enumerate(filters[from_depth:], from_depth + 1):
+                short, now = now[0], _deepen(tokens, place, now, depth, grown, frequent)
+            yield tokens, place, short, *now
+
+    return cut[0], again
+
+
+def _cut(texts: DataFrame, filters: list, words: int) -> DataFrame:
+    """The parts of the texts that hold counted contexts of len(filters) words, with so many ``words`` before them."""
     sent, depth = texts.sparkSession.sparkContext.broadcast(filters), len(filters)
+    rows, read = _contexts(texts, None)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        new, size = [], 0
+        for b in batches:
+            for tokens, place, _, _, counted, rare in read(b, sent.value):
+                at = np.flatnonzero(counted)
+                if not len(at):
+                    continue
+                edge = np.zeros(len(tokens) + 1, np.int64)
+                np.add.at(edge, at - np.minimum(place[at], words), 1)
+                np.add.at(edge, at + 1, -1)
+                keep = np.flatnonzero(np.cumsum(edge[:-1]) > 0)
+                first = np.flatnonzero(np.r_[True, (np.diff(keep) > 1) | (place[keep[1:]] == 0)])
+                lens = np.diff(np.r_[first, len(keep)]).astype(np.int32)
+                flags = (counted[keep] + 2 * rare[keep].astype(np.uint8)).astype(np.uint8)
+                yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in (tokens[keep], lens, flags)], names=["tokens", "lens", "flags"])
+
+    assert words > depth
+    return rows.mapInArrow(run, "tokens binary, lens binary, flags binary")
+
+
+def _parts(spark: SparkSession) -> tuple[int, int]:
+    """Shuffle partitions, and the parts that keys are dealt to: several a partition, of which a task holds one at a time unpacked."""
+    n = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return n, 4 * n
+
+
+def _part_of(keys: np.ndarray, parts: int) -> np.ndarray:
+    return ((keys >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
+
+
+def _pack(*columns: np.ndarray) -> bytes:
+    return np.array([len(c) for c in columns], np.int64).tobytes() + b"".join(c.tobytes() for c in columns)
+
+
+def _unpack(blob: bytes, kinds: list) -> list[np.ndarray]:
+    sizes, at, out = np.frombuffer(blob, np.int64, len(kinds)), 8 * len(kinds), []
+    for n, kind in zip(sizes, kinds, strict=True):
+        out.append(np.frombuffer(blob, kind, n, at))
+        at += int(n) * np.dtype(kind).itemsize
+    return out
+
+
+def _by_part(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple[int, bytes]]]:
+    """The packed rows (part, kind, blob) of each part of a task."""
+    got: dict[int, list] = {}
+    for b in batches:
+        for part, kind, blob in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            got.setdefault(part, []).append((kind, blob))
+    while got:
+        yield got.popitem()[1]
+
+
+def _sliced(b: pa.RecordBatch, step: int = 100_000) -> Iterator[pa.RecordBatch]:
+    for at in range(0, b.num_rows, step):
+        yield b.slice(at, step)
+
+
+_PACKED = "part int, kind int, blob binary"
+_PAIRS = [np.uint64, np.uint64, np.int32, np.uint64, np.int64]  # contexts, their suffixes, their pairs; symbols, counts
+
+
+def _packed(rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
+    part, kind, blob = zip(*rows, strict=True)
+    return pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), pa.array(kind, pa.int32()), pa.array(blob, pa.binary())], names=["part", "kind", "blob"])
 
-        def combined() -> pa.RecordBatch:
-            context, symbol, suffix = (np.concatenate(x) for x in zip(*new, strict=True))
-            key = _turn(context) ^ symbol
-            order = np.argsort(key)
-            key = key[order]
-            first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else order
-            n = np.diff(np.r_[first, len(key)]).astype(np.int64)
-            return pa.RecordBatch.from_arrays([*[pa.array(signed(x[order[first]])) for x in (context, symbol, suffix)], pa.array(n)], names=["context", "symbol", "suffix", "n"])
 
-        def pieces(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-            for at in range(0, b.num_rows, 100_000):
-                yield b.slice(at, 100_000)
+def _combined(context: np.ndarray, symbol: np.ndarray, suffix: np.ndarray, n: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct pairs (context, symbol) with their counts summed, by context."""
+    key = _turn(context) ^ symbol
+    order = np.argsort(key)
+    key = key[order]
+    first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else order
+    n = np.diff(np.r_[first, len(key)]).astype(np.int64) if n is None else np.add.reduceat(n[order], first) if len(first) else n
+    at = order[first]
+    by = np.argsort(context[at])
+    at = at[by]
+    return context[at], symbol[at], suffix[at], n[by]
+
+
+def _runs(x: np.ndarray) -> np.ndarray:
+    return np.flatnonzero(np.r_[True, x[1:] != x[:-1]]) if len(x) else np.zeros(0, np.int64)
+
+
+def _followers(texts: DataFrame, filters: list, cut: tuple | None, hot: np.ndarray) -> DataFrame:
+    """Of the contexts of len(filters) words: rows (context, suffix, total, followers, seen) with null in symbol and n, and
+    the pairs with a symbol seen MIN_NEXT times (context, symbol, suffix, n, total, seen). Contexts are dealt by their hash; the frequent ones,
+    hot (sorted), by their pairs', so they have a row for each part, and nulls in their pairs' total and seen."""
+    spark = texts.sparkSession
+    sent, hot_sent = spark.sparkContext.broadcast(filters), spark.sparkContext.broadcast(hot)
+    rows, read = _contexts(texts, cut)
+    partitions, parts = _parts(spark)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        new, size = [], 0
+
+        def dealt() -> pa.RecordBatch:
+            context, symbol, suffix, n = _combined(*(np.concatenate(x) for x in zip(*new, strict=True)), None)
+            is_hot = _find(hot_sent.value, context) >= 0
+            out = []
+            for which in (~is_hot, is_hot):
+                c, s, x, m = (v[which] for v in (context, symbol, suffix, n))
+                part = _part_of(_turn(c) ^ s if which is is_hot else c, parts)
+                if which is is_hot:
+                    by = np.argsort(part, kind="stable")
+                    c, s, x, m, part = (v[by] for v in (c, s, x, m, part))
+                cuts = np.r_[_runs(part), len(part)]
+                for a, z in zip(cuts[:-1], cuts[1:], strict=True):
+                    f = _runs(c[a:z])
+                    out.append((int(part[a]), 0, _pack(c[a:z][f], x[a:z][f], np.diff(np.r_[f, z - a]).astype(np.int32), s[a:z], m[a:z])))
+            return _packed(out)
 
         for b in batches:
-            for t in b.column(0).to_pylist():
-                tokens = _tokens(t)
-                if len(tokens) <= depth:
-                    continue
-                at = _counted_at(tokens, sent.value)
-                suffix = _sequences(tokens[1:-1], depth - 1)[at] if depth > 1 else np.zeros(len(at), np.uint64)
-                new.append((_sequences(tokens[:-1], depth)[at], tokens[depth:][at], suffix))
+            for tokens, _, short, keys, counted, _ in read(b, sent.value):
+                at = np.flatnonzero(counted)
+                new.append((keys[at], tokens[at], short[at]))
                 size += len(at)
-                if size > 4_000_000:
-                    yield from pieces(combined())
+                if size > 3_000_000:
+                    yield dealt()
                     new, size = [], 0
         if size:
-            yield from pieces(combined())
-
-    rows = texts.mapInArrow(run, "context long, symbol long, suffix long, n long")
-    return rows.groupBy("context", "symbol").agg(F.min("suffix").alias("suffix"), F.sum("n").alias("n"))
-
-
-def _level(texts: DataFrame, filters: list, lower: tuple[DataFrame, DataFrame] | None, root: DataFrame) -> tuple[DataFrame, DataFrame, KeyFilter]:
+            yield dealt()
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for got in _by_part(batches):
+            columns = [_unpack(blob, _PAIRS) for _, blob in got]
+            context, suffix = (np.concatenate([np.repeat(c[i], c[2]) for c in columns]) for i in (0, 1))
+            symbol, n = (np.concatenate([c[i] for c in columns]) for i in (3, 4))
+            context, symbol, suffix, n = _combined(context, symbol, suffix, n)
+            first = _runs(context)
+            names, followers = context[first], np.diff(np.r_[first, len(context)])
+            total, seen = np.add.reduceat(n, first), np.add.reduceat(np.where(n >= MIN_NEXT, n - DISCOUNT, 0.0), first)
+            split = _find(hot_sent.value, names) >= 0
+            kept = split | (total >= MIN_CONTEXT)
+            pair = np.repeat(kept, followers) & (n >= MIN_NEXT)
+            none = np.zeros(int(kept.sum()), np.int64)
+            yield from _sliced(pa.RecordBatch.from_arrays([pa.array(signed(names[kept])), pa.array(none, mask=none == 0), pa.array(signed(suffix[first][kept])), pa.array(none, mask=none == 0), pa.array(total[kept]), pa.array(seen[kept]), pa.array(followers[kept])], names=names_of))
+            of, open_ = np.repeat(np.arange(len(first)), followers)[pair], np.repeat(split, followers)[pair]
+            yield from _sliced(pa.RecordBatch.from_arrays([pa.array(signed(context[pair])), pa.array(signed(symbol[pair])), pa.array(signed(suffix[pair])), pa.array(n[pair]), pa.array(total[of], mask=open_), pa.array(seen[of], mask=open_), pa.array(followers[of], mask=open_)], names=names_of))
+
+    names_of = ["context", "symbol", "suffix", "n", "total", "seen", "followers"]
+    return rows.mapInArrow(run, _PACKED).repartition(partitions, "part").mapInArrow(count, "context long, symbol long, suffix long, n long, total long, seen double, followers long")
+
+
+def _level(texts: DataFrame, filters: list, cut: tuple | None, hot: np.ndarray, lower: tuple[DataFrame, DataFrame] | None, root: DataFrame) -> tuple[DataFrame, DataFrame, KeyFilter]:
     """Of one depth: candidate contexts (context, suffix, total, left, diverges, grows), stored symbols (context, symbol, n, p,
-    value: log10 of p by back-off's), and a filter of the frequent sequences that were counted. root: symbol, below."""
-    got = materialize(_followers(texts, filters), "lm_followers")
-    contexts = got.groupBy("context").agg(F.min("suffix").alias("suffix"), F.sum("n").alias("total"), (F.count(F.lit(1)) > 1).alias("several"), F.sum(F.when(F.col("n") >= MIN_NEXT, F.col("n") - DISCOUNT)).alias("seen")).filter(F.col("total") >= MIN_CONTEXT)
+    value: log10 of p by back-off's), and a filter of the frequent sequences that were counted. root: symbol, below. Stored
+    symbols may be of contexts that are no candidates: those are not used."""
+    got = materialize(_followers(texts, filters, cut, hot), "lm_followers")
+    left = 1 - F.col("seen") / F.col("total")
+    whole = got.filter("n is null").groupBy("context").agg(F.min("suffix").alias("suffix"), F.sum("total").alias("total"), (F.sum("followers") > 1).alias("several"), F.sum("seen").alias("seen"))
+    contexts = whole.select("context", "suffix", "total", "several", left.alias("left"))
     if lower:
         parent = lower[0].filter("grows").select(F.col("context").alias("suffix"), F.col("diverges").alias("shorter_diverges"))
         contexts = contexts.join(parent, "suffix")  # exactly those whose suffix is extended
     else:
         contexts = contexts.withColumn("shorter_diverges", F.lit(True))
-    contexts = materialize(contexts.withColumn("left", 1 - F.coalesce("seen", F.lit(0.0)) / F.col("total")).drop("seen"), "lm_contexts")
-    stored = got.filter(F.col("n") >= MIN_NEXT).drop("suffix").join(contexts.select("context", "suffix", "total", "left"), "context")
+    stored = got.filter("n is not null").select("context", "symbol", "suffix", "n", "total", left.alias("left"))
+    if len(hot):  # at most 1 / P_CONTEXT
+        split = texts.sparkSession.createDataFrame(pa.table({"context": signed(hot)}))
+        split = whole.join(F.broadcast(split), "context", "left_semi").select("context", F.col("total").alias("_total"), left.alias("_left"))
+        stored = stored.join(F.broadcast(split), "context", "left").withColumns({"total": F.coalesce("total", "_total"), "left": F.coalesce("left", "_left")}).drop("_total", "_left")
     if lower:
         shorter = lower[1].select(_longer(F.col("context"), F.col("symbol")).alias("shorter"), F.col("p").alias("below"))
         stored = stored.withColumn("shorter", _longer(F.col("suffix"), F.col("symbol"))).join(shorter, "shorter")
     else:
         stored = stored.join(root, "symbol")
     stored = stored.withColumn("p", (F.col("n") - DISCOUNT) / F.col("total") + F.col("left") * F.col("below"))
-    stored = materialize(stored.select("context", "symbol", "n", "p", (F.log10("p") - F.log10("below") - F.log10("left")).alias("value")), "lm_stored")
+    stored = materialize(stored.select("context", "symbol", "n", "p", "left", (F.log10("p") - F.log10("below") - F.log10("left")).alias("value")), "lm_stored")
     frequent = KeyFilter(got.filter(F.col("n") >= MIN_CONTEXT).select(_longer(F.col("context"), F.col("symbol")).alias("key")), "key")
-    discard(got)
     sums = stored.groupBy("context").agg(F.sum(F.col("p") * F.col("value")).alias("gain"), F.sum("p").alias("p"), F.sum(F.col("p") / F.pow(F.lit(10.0), "value")).alias("below"))
     # p = value * left * below of stored symbols, and left * below of the rest
     divergence = F.col("gain") * float(np.log(10)) + (F.col("p") + F.col("left") - F.col("below")) * F.log("left")
     out = contexts.join(sums, "context", "left").withColumn("diverges", F.coalesce(divergence >= MIN_DIVERGENCE, F.lit(False)))
     out = out.withColumn("grows", F.col("several") & (F.col("diverges") | F.col("shorter_diverges")))
     out = materialize(out.drop("gain", "p", "below", "several", "shorter_diverges"), "lm_level")
-    discard(contexts)
-    return out, stored, frequent
+    discard(got)
+    return out, stored.drop("left"), frequent
 
 
 def _values(levels: list[tuple[DataFrame, DataFrame]]) -> tuple[DataFrame | None, list[DataFrame]]:
@@ -305,70 +528,188 @@ def _values(levels: list[tuple[DataFrame, DataFrame]]) -> tuple[DataFrame | None
 
 def train(texts: DataFrame) -> tuple[Tree, DataFrame]:
     """The tree, and the table of what tasks do not know: (key, n, null) of words, (key, null, value) of sequences."""
-    unigrams = materialize(_counted(texts, lambda: signed), "unigrams")
+    unigrams = materialize(_unigrams(texts), "unigrams")
     total, vocabulary = unigrams.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     total, vocabulary = int(total), int(vocabulary)
     frequent = unigrams.filter(F.col("n") >= P_JOINT * total).toPandas().sort_values("key")
     tree = Tree(frequent["key"].to_numpy(np.int64), frequent["n"].to_numpy(np.int64), total, vocabulary)
-    root = unigrams.select(F.col("key").alias("symbol"), ((F.col("n") + 1.0) / float(tree.z)).alias("below"))
+    root = unigrams.filter(F.col("n") >= MIN_NEXT).select(F.col("key").alias("symbol"), ((F.col("n") + 1.0) / float(tree.z)).alias("below"))
     levels: list[tuple[DataFrame, DataFrame]] = []
     words = unigrams.filter(F.col("n") >= MIN_CONTEXT)
     filters = [(None, KeyFilter(words, "key"))]
+    split = F.col("n") >= max(MIN_CONTEXT, P_CONTEXT * total)
+    hot = words.filter(split & (F.col("key") != int(signed(END.reshape(1))[0]))).select("key")
+    cut, kept_words = None, KEPT_WORDS
     while not levels or filters[-1][0].size:
-        contexts, stored, frequent = _level(texts, filters, levels[-1] if levels else None, root)
+        depth = len(levels) + 1
+        if depth >= CUT_FROM and (cut is None or depth > cut[2]):
+            if cut:
+                discard(cut[0])
+                kept_words *= 4
+            cut = materialize(_cut(texts, filters, kept_words), "lm_cut"), depth, kept_words
+        spread = np.sort(hot.toArrow().column("key").to_numpy().view(np.uint64))
+        contexts, stored, frequent = _level(texts, filters, cut, spread, levels[-1] if levels else None, root)
         levels.append((contexts, stored))
+        hot = stored.filter(split).select(_longer(F.col("context"), F.col("symbol")).alias("key"))
         filters.append((KeyFilter(contexts.filter("grows"), "context"), frequent))
+    if cut:
+        discard(cut[0])
     values, states = _values(levels)
     values = materialize(values, "lm_values")
     hot = F.col("n") >= P_JOINT * total
     known = values.filter(hot).select("key", "value").toPandas().sort_values("key")
     tree.keys, tree.values, tree.depth = known["key"].to_numpy(np.int64), known["value"].to_numpy(float), len(levels)
-    others = values.filter(~hot)
-    tree.others = KeyFilter(others, "key")
+    tree.stored = KeyFilter(values, "key", 28)
     for level, ((_, stored), kept) in enumerate(zip(levels[:2], states, strict=False)):
         near = stored.filter(hot).join(kept.filter(F.col("total") >= P_CONTEXT * total).select("context", "suffix"), "context")
         tree.add_level(level, near.select("context", "symbol", "suffix", "p").toArrow())
     for done in [*[x for level in levels for x in level], *states]:
         discard(done)
-    rest = unigrams.select("key", "n", F.lit(None).cast("double").alias("value"))
-    return tree, rest.unionByName(others.select("key", F.lit(None).cast("long").alias("n"), "value"))
+    rest = unigrams.filter(F.col("n") < P_JOINT * total).select("key", "n", F.lit(None).cast("double").alias("value"))
+    table = rest.unionByName(values.filter(~hot).select("key", F.lit(None).cast("long").alias("n"), "value"))
+    table._spanforge_tables = (unigrams, values)  # of use until the scores are told
+    return tree, table
+
+
+def _planes(x: np.ndarray) -> np.ndarray:
+    """The bytes of small numbers by their weight, so that the shuffle's compression finds the zeros."""
+    return np.ascontiguousarray(x.view(np.uint8).reshape(len(x), x.itemsize).T).reshape(-1)
+
+
+def _whole(planes: np.ndarray, kind: type) -> np.ndarray:
+    width = np.dtype(kind).itemsize
+    return np.ascontiguousarray(planes.reshape(width, -1).T).reshape(-1).view(kind)
+
+
+def _questions(keys: np.ndarray, rows: np.ndarray, base: int, parts: int) -> pa.RecordBatch:
+    """What tasks ask of the table: keys, in order, and the numbers of their rows from ``base`` on."""
+    by = np.argsort(keys)
+    keys, rows = keys[by], rows[by].astype(np.int32)
+    part = _part_of(keys, parts)
+    cuts = np.r_[_runs(part), len(part)]
+    out = []
+    for a, z in zip(cuts[:-1], cuts[1:], strict=True):
+        out.append((int(part[a]), 0, _pack(np.array([base], np.int64), _planes(np.diff(keys[a:z], prepend=np.uint64(0))), _planes(rows[a:z]))))
+    return _packed(out)
+
+
+def _numbers(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.RecordBatch]:
+    """The rows (key, n, value) of the table, dealt like the questions."""
+    for b in batches:
+        key, n, value = (c.to_numpy(zero_copy_only=False) for c in (b.column(0), b.column(1).fill_null(0), b.column(2).fill_null(np.nan)))
+        part = _part_of(key.view(np.uint64), parts)
+        by = np.argsort(part, kind="stable")
+        cuts = np.r_[_runs(part[by]), len(by)]
+        out = []
+        for a, z in zip(cuts[:-1], cuts[1:], strict=True):
+            at = by[a:z]
+            word = n[at] > 0
+            out.append((int(part[at[0]]), 1, _pack(key[at[word]], n[at[word]], key[at[~word]], value[at[~word]])))
+        if out:
+            yield _packed(out)
+
+
+def _answers(got: list[tuple[int, bytes]]) -> list[np.ndarray] | None:
+    """Row, known words, what words add and what sequences add, of one part's questions."""
+    held = [_unpack(blob, [np.int64, np.int64, np.int64, np.float64]) for kind, blob in got if kind]
+    asked = [_unpack(blob, [np.int64, np.uint8, np.uint8]) for kind, blob in got if not kind]
+    if not asked or not held:
+        return None
+    words, counts, keys, values = (np.concatenate([x[i] for x in held]) for i in range(4))
+    by, to = np.argsort(words), np.argsort(keys)
+    words, counts, keys, values = words[by], counts[by], keys[to], values[to]
+    ask = signed(np.concatenate([np.cumsum(_whole(x[1], np.uint64)) for x in asked]))
+    row = np.concatenate([_whole(x[2], np.int32) + x[0][0] for x in asked])
+    at, on = _find(words, ask), _find(keys, ask)
+    hit = (at >= 0) | (on >= 0)
+    at, on, row = at[hit], on[hit], row[hit]
+    add = np.where(at >= 0, np.log10(counts + 1.0)[at], 0.0) if len(counts) else np.zeros(len(at))
+    gain = np.where(on >= 0, values[on], 0.0) if len(values) else np.zeros(len(on))
+    return _summed(row, (at >= 0).astype(np.int64), add, gain)
+
+
+def _summed(row: np.ndarray, *columns: np.ndarray) -> list[np.ndarray]:
+    """The columns summed by row."""
+    by = np.argsort(row, kind="stable")
+    row = row[by]
+    first = _runs(row)
+    return [row[first], *[np.add.reduceat(c[by], first) if len(first) else c for c in columns]]
 
 
 def score(docs: DataFrame, tree: Tree, table: DataFrame, keep: list[str]) -> DataFrame:
-    """``keep`` columns and n_tokens, n_known, train_tokens, base_score, score of every row."""
+    """``keep`` columns and n_tokens, n_known, train_tokens, base_score, score of every row. Rows go with what their tasks know of them through
+    the one shuffle that takes the questions to the table's parts; what comes out has a row of numbers for a text and task."""
     rows = docs.select(*keep, F.col("text").cast("string").alias("text"))
     sent = docs.sparkSession.sparkContext.broadcast(tree)
-    fields = [rows.schema[c] for c in keep]
-    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+    partitions, parts = _parts(docs.sparkSession)
+    kinds = ["row long", "n_tokens long", "known long", "base double", "own double"]
+    numbers = [x.split()[0] for x in kinds]
+    kept = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         model, base = sent.value, TaskContext.get().partitionId() << 40
-        done = 0
+        done = since = size = 0
+        new, none = [], []
+        names = [*keep, *numbers, "part", "kind", "blob"]
+
+        def asked() -> pa.RecordBatch:
+            out = _questions(*(np.concatenate(x) for x in zip(*new, strict=True)), base + since, parts)
+            return pa.RecordBatch.from_arrays([*[pa.nulls(out.num_rows, x) for x in none], *out.columns], names=names)
+
         for b in batches:
-            for at in range(0, b.num_rows, 1000):
-                part = b.slice(at, 1000)
-                out = [[], [], [], [], []]
-                for t in part.column(len(keep)).to_pylist():
-                    tokens = _tokens(t)
-                    s, z, known, rare = model.score(tokens)
-                    for column, v in zip(out, (len(tokens), known, z, s, rare.view(np.int64)), strict=True):
-                        column.append(v)
-                kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.int64())]
-                ids = pa.array(np.arange(done, done + part.num_rows) + base)
-                done += part.num_rows
-                yield pa.RecordBatch.from_arrays([*part.columns[: len(keep)], ids, *[pa.array(v, k) for v, k in zip(out, kinds, strict=True)]], names=[*keep, "row", "n_tokens", "known", "base", "own", "rare"])
-
-    scored = materialize(rows.mapInArrow(run, ddl + ", row long, n_tokens long, known long, base double, own double, rare array<long>"), "lm_rows")
-    rare = scored.select("row", F.explode("rare").alias("key")).join(table, "key")
-    more = rare.groupBy("row").agg(F.count("n").alias("more"), F.sum(F.log10(F.col("n") + F.lit(1.0))).alias("add"), F.sum("value").alias("gain"))
-    out = scored.drop("rare").join(more, "row", "left")
-    add = F.coalesce("add", F.lit(0.0))
-    return out.select(*keep, "n_tokens", (F.col("known") + F.coalesce("more", F.lit(0))).alias("n_known"), F.lit(tree.total).cast("long").alias("train_tokens"), (F.col("base") + add).alias("base_score"), (F.col("own") + add + F.coalesce("gain", F.lit(0.0))).alias("score"))
+            out, first = [], done
+            for tokens, lens in _tokens(b.column(len(keep))):
+                own, z, known, rare, whose = model.score(tokens, lens)
+                out.append((lens, known, z, own))
+                new.append((rare, whose + (done - since)))
+                size += len(rare)
+                done += len(lens)
+            if done == first:
+                continue
+            row = np.arange(first, done) + base
+            made = [*b.columns[: len(keep)], pa.array(row), *[pa.array(np.concatenate(c)) for c in zip(*out, strict=True)]]
+            none = [x.type for x in made]
+            yield pa.RecordBatch.from_arrays([*made, pa.array((row % parts).astype(np.int32)), pa.nulls(len(row), pa.int32()), pa.nulls(len(row), pa.binary())], names=names)
+            if size > 3_000_000:
+                yield asked()
+                new, size, since = [], 0, done
+        if size:
+            yield asked()
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from _numbers(batches, parts)
+
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packed, types, names = [], None, [*keep, *numbers, "more", "add", "gain"]
+        width = len(keep) + len(numbers)
+        for b in batches:
+            types = [x.type for x in b.columns[:width]]
+            questions = b.column(width + 2).is_valid()
+            packed.append(b.select(range(width, width + 3)).filter(questions))
+            own = b.filter(b.column(len(keep)).is_valid())
+            yield pa.RecordBatch.from_arrays([*own.columns[:width], pa.nulls(own.num_rows, pa.int64()), pa.nulls(own.num_rows, pa.float64()), pa.nulls(own.num_rows, pa.float64())], names=names)
+        total = [x for x in map(_answers, _by_part(packed)) if x]
+        if total:
+            row, *sums = _summed(*(np.concatenate(x) for x in zip(*total, strict=True)))
+            blank = [pa.nulls(len(row), x) for x in types]
+            blank[len(keep)] = pa.array(row)
+            yield from _sliced(pa.RecordBatch.from_arrays([*blank, *map(pa.array, sums)], names=names))
+
+    asked = rows.mapInArrow(run, f"{kept}, {', '.join(kinds)}, {_PACKED}")
+    both = asked.unionByName(table.select("key", "n", "value").mapInArrow(deal, _PACKED), allowMissingColumns=True)
+    told = both.repartition(partitions, "part").mapInArrow(answer, f"{kept}, {', '.join(kinds)}, more long, add double, gain double")
+    told = materialize(told, "lm_rows")
+    for done in getattr(table, "_spanforge_tables", ()):
+        discard(done)
+    sums = [F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("n_tokens", "known", "base", "own", "more", "add", "gain")]
+    out = told.groupBy("row").agg(*[F.first(F.col(f"`{c}`"), ignorenulls=True).alias(c) for c in keep], *sums)
+    return out.select(*keep, "n_tokens", (F.col("known") + F.col("more")).alias("n_known"), F.lit(tree.total).cast("long").alias("train_tokens"), (F.col("base") + F.col("add")).alias("base_score"), (F.col("own") + F.col("add") + F.col("gain")).alias("score"))
 
 
 def language_model(docs: DataFrame) -> DataFrame:
+    small_batches(docs.sparkSession)
     held = F.coalesce(crc_mod("doc_id", 7) == 2, F.lit(False))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held.alias("held_out"), F.col("text").cast("string").alias("text"))
     tree, table = train(rows.filter(~F.col("held_out")).select("text"))
