@@ -11,8 +11,9 @@ only if two lengths in a row before it added nothing.
 Scale: every level is counted over the whole training corpus; each task combines its own rows before they are shuffled.
 States and stored symbols are distributed tables. As the tree is closed under suffixes, a text's score is a sum of one number
 per word sequence in it (``_values``). Those of sequences of at least ``P_JOINT`` of the training tokens (at most 1 / P_JOINT a
-length) are broadcast, so no join key is hot; all others are joined, after a bit filter of bounded size dropped most sequences
-that have none.
+length) are broadcast, so no key that is left is hot; all others are looked up in parts by hash, which tasks ask in packed
+arrays after a bit filter of bounded size dropped most sequences that have none. From the fourth level on only the parts of
+the texts are read that still hold counted contexts.
 
 Defined results: null text = empty text = the end token alone; words and sequences are compared by a 64-bit hash; without training
 documents all counts are 0 (base log10(1 / 1) per token with N = V = 0); rows with a null doc_id are scored and train; rows
@@ -22,6 +23,7 @@ that repeat a doc_id are scored each on its own.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +42,8 @@ CUT_FROM, KEPT_WORDS = 4, 16
 END = np.uint64(0x2D06800538D394C2)
 
 
+#: Arrow batches of the table that are dealt at a time.
+DEALT_BATCHES = 1000
 #: Bytes of text that are cut into words at a time.
 CHUNK = 1 << 19
 _SPACE = np.zeros(256, bool)
@@ -344,7 +348,9 @@ def _cut(texts: DataFrame, filters: list, words: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in (tokens[keep], lens, flags)], names=["tokens", "lens", "flags"])
 
     assert words > depth
-    return rows.mapInArrow(run, "tokens binary, lens binary, flags binary")
+    out = materialize(rows.mapInArrow(run, "tokens binary, lens binary, flags binary"), "lm_cut")
+    sent.destroy()
+    return out
 
 
 def _parts(spark: SparkSession) -> tuple[int, int]:
@@ -467,14 +473,17 @@ def _followers(texts: DataFrame, filters: list, cut: tuple | None, hot: np.ndarr
             yield from _sliced(pa.RecordBatch.from_arrays([pa.array(signed(context[pair])), pa.array(signed(symbol[pair])), pa.array(signed(suffix[pair])), pa.array(n[pair]), pa.array(total[of], mask=open_), pa.array(seen[of], mask=open_), pa.array(followers[of], mask=open_)], names=names_of))
 
     names_of = ["context", "symbol", "suffix", "n", "total", "seen", "followers"]
-    return rows.mapInArrow(run, _PACKED).repartition(partitions, "part").mapInArrow(count, "context long, symbol long, suffix long, n long, total long, seen double, followers long")
+    out = materialize(rows.mapInArrow(run, _PACKED).repartition(partitions, "part").mapInArrow(count, "context long, symbol long, suffix long, n long, total long, seen double, followers long"), "lm_followers")
+    for done in (sent, hot_sent):
+        done.destroy()
+    return out
 
 
 def _level(texts: DataFrame, filters: list, cut: tuple | None, hot: np.ndarray, lower: tuple[DataFrame, DataFrame] | None, root: DataFrame) -> tuple[DataFrame, DataFrame, KeyFilter]:
     """Of one depth: candidate contexts (context, suffix, total, left, diverges, grows), stored symbols (context, symbol, n, p,
     value: log10 of p by back-off's), and a filter of the frequent sequences that were counted. root: symbol, below. Stored
     symbols may be of contexts that are no candidates: those are not used."""
-    got = materialize(_followers(texts, filters, cut, hot), "lm_followers")
+    got = _followers(texts, filters, cut, hot)
     left = 1 - F.col("seen") / F.col("total")
     whole = got.filter("n is null").groupBy("context").agg(F.min("suffix").alias("suffix"), F.sum("total").alias("total"), (F.sum("followers") > 1).alias("several"), F.sum("seen").alias("seen"))
     contexts = whole.select("context", "suffix", "total", "several", left.alias("left"))
@@ -503,11 +512,11 @@ def _level(texts: DataFrame, filters: list, cut: tuple | None, hot: np.ndarray,
     out = out.withColumn("grows", F.col("several") & (F.col("diverges") | F.col("shorter_diverges")))
     out = materialize(out.drop("gain", "p", "below", "several", "shorter_diverges"), "lm_level")
     discard(got)
-    return out, stored.drop("left"), frequent
+    return out, stored, frequent
 
 
 def _values(levels: list[tuple[DataFrame, DataFrame]]) -> tuple[DataFrame | None, list[DataFrame]]:
-    """(key, n, value) of every sequence that has a number, and the states of each level. A state's number is its log10
+    """(key, n, value) of every sequence that has a number, or two to be summed (n is its count in both), and the states of each level. A state's number is its log10
     back-off weight; that of a stored symbol's sequence is what it is more probable than by back-off. So the numbers of all
     sequences that end at a position or before it sum up along the suffixes to the probability in the longest state."""
     parts, states, closed = [], [], None
@@ -523,7 +532,7 @@ def _values(levels: list[tuple[DataFrame, DataFrame]]) -> tuple[DataFrame | None
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
-    return out.groupBy("key").agg(F.max("n").alias("n"), F.sum("value").alias("value")), states
+    return out, states
 
 
 def train(texts: DataFrame) -> tuple[Tree, DataFrame]:
@@ -546,7 +555,7 @@ def train(texts: DataFrame) -> tuple[Tree, DataFrame]:
             if cut:
                 discard(cut[0])
                 kept_words *= 4
-            cut = materialize(_cut(texts, filters, kept_words), "lm_cut"), depth, kept_words
+            cut = _cut(texts, filters, kept_words), depth, kept_words
         spread = np.sort(hot.toArrow().column("key").to_numpy().view(np.uint64))
         contexts, stored, frequent = _level(texts, filters, cut, spread, levels[-1] if levels else None, root)
         levels.append((contexts, stored))
@@ -557,7 +566,7 @@ def train(texts: DataFrame) -> tuple[Tree, DataFrame]:
     values, states = _values(levels)
     values = materialize(values, "lm_values")
     hot = F.col("n") >= P_JOINT * total
-    known = values.filter(hot).select("key", "value").toPandas().sort_values("key")
+    known = values.filter(hot).groupBy("key").agg(F.sum("value").alias("value")).toPandas().sort_values("key")
     tree.keys, tree.values, tree.depth = known["key"].to_numpy(np.int64), known["value"].to_numpy(float), len(levels)
     tree.stored = KeyFilter(values, "key", 28)
     for level, ((_, stored), kept) in enumerate(zip(levels[:2], states, strict=False)):
@@ -595,8 +604,14 @@ def _questions(keys: np.ndarray, rows: np.ndarray, base: int, parts: int) -> pa.
 
 def _numbers(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.RecordBatch]:
     """The rows (key, n, value) of the table, dealt like the questions."""
-    for b in batches:
-        key, n, value = (c.to_numpy(zero_copy_only=False) for c in (b.column(0), b.column(1).fill_null(0), b.column(2).fill_null(np.nan)))
+    held: list[pa.RecordBatch] = []
+    for b in chain(batches, [None]):
+        held += [b] if b is not None else []
+        if not held or (b is not None and len(held) < DEALT_BATCHES):
+            continue
+        t = pa.Table.from_batches(held).combine_chunks()
+        held = []
+        key, n, value = (c.to_numpy() for c in (t.column(0), t.column(1).fill_null(0), t.column(2).fill_null(np.nan)))
         part = _part_of(key.view(np.uint64), parts)
         by = np.argsort(part, kind="stable")
         cuts = np.r_[_runs(part[by]), len(by)]
@@ -618,6 +633,8 @@ def _answers(got: list[tuple[int, bytes]]) -> list[np.ndarray] | None:
     words, counts, keys, values = (np.concatenate([x[i] for x in held]) for i in range(4))
     by, to = np.argsort(words), np.argsort(keys)
     words, counts, keys, values = words[by], counts[by], keys[to], values[to]
+    first = _runs(keys)  # a sequence can be a state and a stored symbol's
+    keys, values = keys[first], np.add.reduceat(values, first) if len(first) else values
     ask = signed(np.concatenate([np.cumsum(_whole(x[1], np.uint64)) for x in asked]))
     row = np.concatenate([_whole(x[2], np.int32) + x[0][0] for x in asked])
     at, on = _find(words, ask), _find(keys, ask)
@@ -701,6 +718,7 @@ def score(docs: DataFrame, tree: Tree, table: DataFrame, keep: list[str]) -> Dat
     both = asked.unionByName(table.select("key", "n", "value").mapInArrow(deal, _PACKED), allowMissingColumns=True)
     told = both.repartition(partitions, "part").mapInArrow(answer, f"{kept}, {', '.join(kinds)}, more long, add double, gain double")
     told = materialize(told, "lm_rows")
+    sent.destroy()
     for done in getattr(table, "_spanforge_tables", ()):
         discard(done)
     sums = [F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("n_tokens", "known", "base", "own", "more", "add", "gain")]

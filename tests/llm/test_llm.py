@@ -393,6 +393,36 @@ def test_op4_repeated_phrases_are_states_at_any_share(spark, monkeypatch):
     assert all(got[i].score > got[i].base_score + 10 for i in range(20))
 
 
+def test_op4_tokens_are_lower_cased_words():
+    import pyarrow as pa
+
+    texts = ["The  cat\x0bTHE\tÉ é\x1c x\u3000y", None, "", " ", "ab ba the", "x" * 3000, "é cat"]
+    words = [w for t in texts for w in [*(t or "").encode().lower().split(), b""]]
+    got = list(language_model._tokens(pa.array(texts)))
+    hashes = np.concatenate([x for x, _ in got]).tolist()
+    assert [len((t or "").encode().split()) + 1 for t in texts] == np.concatenate([n for _, n in got]).tolist()
+    assert len(hashes) == len(words) and len(set(zip(words, hashes, strict=True))) == len(set(words)) == len(set(hashes))
+
+
+def test_op4_cut_texts_score_alike_and_no_tables_stay(spark, tmp_path, monkeypatch):
+    """Deep levels read parts of the texts, cut again when a level needs more words; scoring writes neither texts' keys nor leaves the table."""
+    from spanforge.llm import common
+
+    r = random.Random(8)
+    phrase = [f"p{i}" for i in range(4)]
+    rows = [(i, " ".join([r.choice("abc"), *(r.choice([w, w, w + "x"]) for w in phrase), r.choice("de")])) for i in range(150)]
+    monkeypatch.setattr(common, "shared_dir", lambda _: f"file://{tmp_path}")
+    out = []
+    for start, words in ((99, 16), (2, 3)):
+        monkeypatch.setattr(language_model, "CUT_FROM", start)
+        monkeypatch.setattr(language_model, "KEPT_WORDS", words)
+        tree, held = language_model.train(spark.createDataFrame([(t,) for _, t in rows], "text string"))
+        assert tree.depth > 3
+        out.append({x.doc_id: x.score for x in language_model.score(table(spark, rows), tree, held, ["doc_id"]).collect()})
+    assert out[0] == pytest.approx(out[1], abs=1e-9)
+    assert {x.name.rsplit("_", 1)[0] for x in tmp_path.iterdir()} == {"spanforge_lm_rows"}
+
+
 def test_op4_empty(odd, nothing):
     assert language_model.language_model(nothing).count() == 0
     got = language_model.language_model(odd).collect()
