@@ -22,11 +22,13 @@ that repeat a doc_id are scored each on its own.
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,6 +44,8 @@ CUT_FROM, KEPT_WORDS = 4, 16
 END = np.uint64(0x2D06800538D394C2)
 
 
+#: Rounds in which the texts ask the table, each after the one before is answered and its shuffle gone.
+ROUNDS = 2
 #: Arrow batches of the table that are dealt at a time.
 DEALT_BATCHES = 1000
 #: Bytes of text that are cut into words at a time.
@@ -101,18 +105,39 @@ def _places(lens: np.ndarray) -> np.ndarray:
     return np.arange(lens.sum()) - np.repeat(np.cumsum(lens) - lens, lens)
 
 
+def _order(x: np.ndarray) -> np.ndarray:
+    """Stable argsort of unsigned 64-bit keys: positions are sorted along with the keys' leading bits, which seldom fail to tell them apart."""
+    low = np.uint64(max(1, len(x) - 1).bit_length())
+    both = np.sort((x >> low << low) | np.arange(len(x), dtype=np.uint64))
+    by = (both & ((np.uint64(1) << low) - np.uint64(1))).astype(np.int64)
+    y = x[by]
+    return by if (y[1:] >= y[:-1]).all() else np.argsort(x, kind="stable")
+
+
+def _runs(x: np.ndarray) -> np.ndarray:
+    return np.flatnonzero(np.r_[True, x[1:] != x[:-1]]) if len(x) else np.zeros(0, np.int64)
+
+
 def _count(keys: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    x = np.sort(np.concatenate(keys)) if keys else np.zeros(0, np.int64)
-    first = np.flatnonzero(np.r_[True, x[1:] != x[:-1]]) if len(x) else np.zeros(0, np.int64)
+    x = np.sort(np.concatenate(keys)) if keys else np.zeros(0, np.uint64)
+    first = _runs(x)
     return x[first], np.diff(np.r_[first, len(x)]).astype(np.int64)
 
 
+def _by_key(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order with their numbers summed."""
+    by = _order(keys)
+    keys, n = keys[by], n[by]
+    first = _runs(keys)
+    return keys[first], np.add.reduceat(n, first) if len(first) else n
+
+
 class Counter:
-    """Counts int64 keys, folding what it holds when more than ``limit`` keys have come."""
+    """Counts keys, folding what it holds when more than ``limit`` keys have come."""
 
     def __init__(self, limit: int = 4_000_000):
         self.limit, self.new, self.size = limit, [], 0
-        self.key, self.n = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.key, self.n = np.zeros(0, np.uint64), np.zeros(0, np.int64)
 
     def add(self, keys: np.ndarray) -> None:
         self.new.append(keys)
@@ -122,30 +147,30 @@ class Counter:
 
     def fold(self) -> None:
         k, n = _count(self.new)
-        both = np.concatenate([self.key, k])
-        order = np.argsort(both, kind="stable")
-        both, n = both[order], np.concatenate([self.n, n])[order]
-        first = np.flatnonzero(np.r_[True, both[1:] != both[:-1]]) if len(both) else np.zeros(0, np.int64)
-        self.key, self.n = both[first], np.add.reduceat(n, first) if len(first) else n
+        self.key, self.n = _by_key(np.concatenate([self.key, k]), np.concatenate([self.n, n]))
         self.new, self.size = [], 0
 
-    def batches(self, step: int = 100_000) -> Iterator[pa.RecordBatch]:
-        self.fold()
-        for at in range(0, len(self.key), step):
-            yield pa.RecordBatch.from_arrays([pa.array(self.key[at : at + step]), pa.array(self.n[at : at + step])], names=["key", "n"])
-
 
 def _unigrams(train: DataFrame) -> DataFrame:
     """(key, n) of the words of all training texts."""
+    parts = _parts(train.sparkSession)[1]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = Counter()
         for b in batches:
             for tokens, _ in _tokens(b.column(0)):
-                counter.add(signed(tokens))
-        yield from counter.batches()
+                counter.add(tokens)
+        counter.fold()
+        if len(counter.key):
+            yield _packed(_dealt(0, counter.key, counter.n, parts))
 
-    return train.mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for got in _by_part(batches):
+            keys, n = _told([blob for _, blob in got], np.int64)
+            keys, n = _by_key(keys, n)
+            yield from _sliced(pa.RecordBatch.from_arrays([pa.array(signed(keys)), pa.array(n)], names=["key", "n"]))
+
+    return train.mapInArrow(run, _PACKED).repartition("part").mapInArrow(count, "key long, n long")
 
 
 def _find(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
@@ -174,19 +199,87 @@ def _longer(context: Column, symbol: Column) -> Column:
     return F.shiftleft(context, 23).bitwiseOR(F.shiftrightunsigned(context, 41)).bitwiseXOR(symbol)
 
 
+def _longs(b: pa.RecordBatch) -> list[np.ndarray]:
+    return [b.column(0).to_numpy().view(np.uint64)]
+
+
+class Index:
+    """Finds keys in a table of distinct ones by their leading bits, counted from the least key: a part's keys begin alike."""
+
+    def __init__(self, table: np.ndarray):
+        self.place = _order(table)
+        self.table = table[self.place]
+        self.low = self.table[0] if len(table) else np.uint64(0)
+        wide = int(self.table[-1] - self.low).bit_length() if len(table) else 0
+        bits = min(22, len(table).bit_length() + 1, wide)
+        self.shift, self.slots = np.uint64(wide - bits), 1 << bits
+        self.first = np.searchsorted((self.table - self.low) >> self.shift, np.arange(self.slots + 1, dtype=np.uint64)).astype(np.int32)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """Index of each key in the table, or -1."""
+        out = np.full(len(keys), -1, np.int64)
+        slot = np.minimum((keys - self.low) >> self.shift, np.uint64(self.slots - 1)).astype(np.int32)
+        at, end = self.first[slot], self.first[slot + 1]
+        left = np.flatnonzero(at < end)
+        at, end, keys = at[left], end[left], keys[left]
+        while len(left):
+            hit = self.table[at] == keys
+            out[left[hit]] = self.place[at[hit]]
+            more = np.flatnonzero(~hit & (at + 1 < end))
+            left, at, end, keys = left[more], at[more] + 1, end[more], keys[more]
+        return out
+
+
 class KeyFilter:
-    """One bit per key's leading bits, of bounded size: a fuller filter only passes more."""
+    """One bit per key's leading bits, of bounded size: a fuller filter only passes more. Tasks send the bits of each part of the keys packed."""
 
     MAX_BITS = 27
 
-    def __init__(self, keys: DataFrame, column: str, max_bits: int = MAX_BITS):
-        self.size = keys.count()
-        self.shift = 64 - max(12, min(max_bits, (self.size * 16).bit_length()))
-        slot = F.shiftrightunsigned(column, self.shift)
-        got = keys.select(slot.alias("s")).groupBy(F.shiftright("s", 6).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(s & 63 as int))")).alias("b")).toArrow()
-        words = np.zeros(1 << (64 - self.shift - 6), np.uint64)
-        words[got.column("w").to_numpy()] = got.column("b").to_numpy().view(np.uint64)
-        self.words = words
+    def __init__(self, rows: DataFrame, max_bits: int = MAX_BITS, read=_longs):
+        """read: the keys (arrays) in a batch of ``rows``."""
+        parts = _parts(rows.sparkSession)[1]
+
+        def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            new, size = [], 0
+            for b in chain(batches, [None]):
+                if b is not None:
+                    got = [k >> np.uint64(64 - max_bits) for k in read(b)]
+                    new += got
+                    size += sum(map(len, got))
+                if size > 4_000_000 or (b is None and size):
+                    x, n = _count(new)
+                    part = (x * np.uint64(parts) >> np.uint64(max_bits)).astype(np.int64)
+                    cuts = np.r_[_runs(part), len(part)]
+                    yield _packed([(int(part[i]), 0, _pack(n[i:j].sum(keepdims=True), _planes(np.diff(x[i:j], prepend=np.uint64(0)).astype(np.uint32)))) for i, j in zip(cuts[:-1], cuts[1:], strict=True)])
+                    new, size = [], 0
+
+        def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            out = []
+            for got in _by_part(batches):
+                columns = [_unpack(blob, [np.int64, np.uint8]) for _, blob in got]
+                n, x = sum(int(c[0][0]) for c in columns), np.concatenate([np.cumsum(_whole(c[1], np.uint32), dtype=np.uint32) for c in columns])
+                x = _count([x])[0]
+                low = int(x[0])
+                if len(x) * 32 < int(x[-1]) - low:
+                    out.append((low, 0, _pack(np.array([n], np.int64), x.view(np.uint8))))
+                else:
+                    bits = np.zeros(int(x[-1]) - low + 1, bool)
+                    bits[x - np.uint32(low)] = True
+                    out.append((low, 1, _pack(np.array([n], np.int64), np.packbits(bits))))
+            if out:
+                yield _packed(out)
+
+        got = rows.mapInArrow(send, _PACKED).repartition("part").mapInArrow(join, _PACKED).toArrow()
+        columns = [_unpack(x.as_py(), [np.int64, np.uint8]) for x in got.column("blob")]
+        self.size = sum(int(n[0]) for n, _ in columns)
+        bits = max(12, min(max_bits, (self.size * 16).bit_length()))
+        self.shift = 64 - bits
+        self.words = np.zeros(1 << (bits - 6), np.uint64)
+        for low, kind, (_, x) in zip(got.column("part").to_pylist(), got.column("kind").to_pylist(), columns, strict=True):
+            slot = (np.flatnonzero(np.unpackbits(x)) + low if kind else x.view(np.uint32)).astype(np.uint64) >> np.uint64(max_bits - bits)
+            word = (slot >> np.uint64(6)).astype(np.int64)
+            first = _runs(word)
+            self.words[word[first]] |= np.bitwise_or.reduceat(np.uint64(1) << (slot & np.uint64(63)), first)
 
     def passes(self, keys: np.ndarray) -> np.ndarray:
         slot = keys >> np.uint64(self.shift)
@@ -203,6 +296,7 @@ class Tree:
         self.z = total + vocabulary + 1
         self.depth = 0
         self.keys, self.values = np.zeros(0, np.int64), np.zeros(0)  # of frequent sequences, in order
+        self.index: tuple[Index, Index] | None = None
         self.stored: KeyFilter | None = None  # of all sequences that have a number
         self.contexts = [np.zeros(0, np.int64), np.zeros(0, np.int64)]
         self.pairs = [np.zeros(0, np.int64), np.zeros(0, np.int64)]  # context number << 32 | symbol number
@@ -243,12 +337,15 @@ class Tree:
         added, with their texts: rare words, and sequences that pass the filter. A sequence has a number only if it has one
         without its first word."""
         begin, text, place = np.cumsum(lens) - lens, np.repeat(np.arange(len(lens)), lens), _places(lens)
-        s = _find(self.symbols, signed(tokens))
+        if self.index is None:  # once a worker
+            self.index = Index(self.symbols.view(np.uint64)), Index(self.keys.view(np.uint64))
+        symbols, sequences = self.index
+        s = symbols.find(tokens)
         rare = s < 0
         per = np.where(rare, 0.0, np.log10(self.counts + 1.0)[s]) if len(self.counts) else np.zeros(len(s))
         base = np.add.reduceat(per, begin) - lens * np.log10(self.z)
         known = np.add.reduceat((~rare & (self.counts[s] > 0)).astype(np.int64), begin) if len(self.counts) else np.zeros(len(lens), np.int64)
-        out, at = base.copy(), _find(self.keys, signed(tokens))
+        out, at = base.copy(), sequences.find(tokens)
         more, whose = [tokens[rare]], [text[rare]]
         if len(self.keys):
             out += np.add.reduceat(np.where(at < 0, 0.0, self.values[at]), begin)
@@ -263,7 +360,7 @@ class Tree:
             end, keys = end[passed], keys[passed]
             if not len(end):
                 break
-            at = _find(self.keys, signed(keys))
+            at = sequences.find(keys)
             hot = at >= 0
             out += np.bincount(text[end[hot]], weights=self.values[at[hot]], minlength=len(lens))
             more.append(keys[~hot])
@@ -327,10 +424,10 @@ def _contexts(texts: DataFrame, cut: tuple[DataFrame, int, int] | None):
     return cut[0], again
 
 
-def _cut(texts: DataFrame, filters: list, words: int) -> DataFrame:
-    """The parts of the texts that hold counted contexts of len(filters) words, with so many ``words`` before them."""
+def _cut(texts: DataFrame, filters: list, words: int, cut: tuple[DataFrame, int, int] | None = None) -> DataFrame:
+    """The parts of the texts, or of an earlier ``cut``, that hold counted contexts of len(filters) words, with so many ``words`` before them."""
     sent, depth = texts.sparkSession.sparkContext.broadcast(filters), len(filters)
-    rows, read = _contexts(texts, None)
+    rows, read = _contexts(texts, cut)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -375,6 +472,30 @@ def _unpack(blob: bytes, kinds: list) -> list[np.ndarray]:
     return out
 
 
+def _planes(x: np.ndarray) -> np.ndarray:
+    """The bytes of small numbers by their weight, so that the shuffle's compression finds the zeros."""
+    return np.ascontiguousarray(x.view(np.uint8).reshape(len(x), x.itemsize).T).reshape(-1)
+
+
+def _whole(planes: np.ndarray, kind: type) -> np.ndarray:
+    width = np.dtype(kind).itemsize
+    return np.ascontiguousarray(planes.reshape(width, -1).T).reshape(-1).view(kind)
+
+
+def _dealt(kind: int, keys: np.ndarray, x: np.ndarray, parts: int) -> list[tuple[int, int, bytes]]:
+    """Packed rows of keys in order and a number of each, one a part."""
+    part = _part_of(keys, parts)
+    cuts = np.r_[_runs(part), len(part)]
+    return [(int(part[a]), kind, _pack(_planes(np.diff(keys[a:z], prepend=np.uint64(0))), _planes(x[a:z]))) for a, z in zip(cuts[:-1], cuts[1:], strict=True)]
+
+
+def _told(blobs: list[bytes], kind: type) -> tuple[np.ndarray, np.ndarray]:
+    """The keys and numbers that ``_dealt`` packed."""
+    got = [_unpack(blob, [np.uint8, np.uint8]) for blob in blobs]
+    keys = [np.cumsum(_whole(k, np.uint64), dtype=np.uint64) for k, _ in got]
+    return np.concatenate([np.zeros(0, np.uint64), *keys]), np.concatenate([np.zeros(0, kind), *(_whole(x, kind) for _, x in got)])
+
+
 def _by_part(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple[int, bytes]]]:
     """The packed rows (part, kind, blob) of each part of a task."""
     got: dict[int, list] = {}
@@ -385,6 +506,14 @@ def _by_part(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple[int, byte
         yield got.popitem()[1]
 
 
+def _let_go(spark: SparkSession) -> None:
+    """Spark deletes the shuffle files of plans that nothing holds any more when the driver's memory is swept, which it seldom needs to be.
+    Its event loops hold the last job until there is another."""
+    gc.collect()
+    spark.range(0, 1, 1, 1).collect()
+    spark._jvm.System.gc()
+
+
 def _sliced(b: pa.RecordBatch, step: int = 100_000) -> Iterator[pa.RecordBatch]:
     for at in range(0, b.num_rows, step):
         yield b.slice(at, step)
@@ -402,20 +531,16 @@ def _packed(rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
 def _combined(context: np.ndarray, symbol: np.ndarray, suffix: np.ndarray, n: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Distinct pairs (context, symbol) with their counts summed, by context."""
     key = _turn(context) ^ symbol
-    order = np.argsort(key)
+    order = _order(key)
     key = key[order]
-    first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else order
+    first = _runs(key)
     n = np.diff(np.r_[first, len(key)]).astype(np.int64) if n is None else np.add.reduceat(n[order], first) if len(first) else n
     at = order[first]
-    by = np.argsort(context[at])
+    by = _order(context[at])
     at = at[by]
     return context[at], symbol[at], suffix[at], n[by]
 
 
-def _runs(x: np.ndarray) -> np.ndarray:
-    return np.flatnonzero(np.r_[True, x[1:] != x[:-1]]) if len(x) else np.zeros(0, np.int64)
-
-
 def _followers(texts: DataFrame, filters: list, cut: tuple | None, hot: np.ndarray) -> DataFrame:
     """Of the contexts of len(filters) words: rows (context, suffix, total, followers, seen) with null in symbol and n, and
     the pairs with a symbol seen MIN_NEXT times (context, symbol, suffix, n, total, seen). Contexts are dealt by their hash; the frequent ones,
@@ -423,7 +548,7 @@ def _followers(texts: DataFrame, filters: list, cut: tuple | None, hot: np.ndarr
     spark = texts.sparkSession
     sent, hot_sent = spark.sparkContext.broadcast(filters), spark.sparkContext.broadcast(hot)
     rows, read = _contexts(texts, cut)
-    partitions, parts = _parts(spark)
+    parts = _parts(spark)[1]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         new, size = [], 0
@@ -473,7 +598,7 @@ def _followers(texts: DataFrame, filters: list, cut: tuple | None, hot: np.ndarr
             yield from _sliced(pa.RecordBatch.from_arrays([pa.array(signed(context[pair])), pa.array(signed(symbol[pair])), pa.array(signed(suffix[pair])), pa.array(n[pair]), pa.array(total[of], mask=open_), pa.array(seen[of], mask=open_), pa.array(followers[of], mask=open_)], names=names_of))
 
     names_of = ["context", "symbol", "suffix", "n", "total", "seen", "followers"]
-    out = materialize(rows.mapInArrow(run, _PACKED).repartition(partitions, "part").mapInArrow(count, "context long, symbol long, suffix long, n long, total long, seen double, followers long"), "lm_followers")
+    out = materialize(rows.mapInArrow(run, _PACKED).repartition("part").mapInArrow(count, "context long, symbol long, suffix long, n long, total long, seen double, followers long"), "lm_followers")
     for done in (sent, hot_sent):
         done.destroy()
     return out
@@ -482,14 +607,15 @@ def _followers(texts: DataFrame, filters: list, cut: tuple | None, hot: np.ndarr
 def _level(texts: DataFrame, filters: list, cut: tuple | None, hot: np.ndarray, lower: tuple[DataFrame, DataFrame] | None, root: DataFrame) -> tuple[DataFrame, DataFrame, KeyFilter]:
     """Of one depth: candidate contexts (context, suffix, total, left, diverges, grows), stored symbols (context, symbol, n, p,
     value: log10 of p by back-off's), and a filter of the frequent sequences that were counted. root: symbol, below. Stored
-    symbols may be of contexts that are no candidates: those are not used."""
+    symbols may be of contexts that are no candidates: those are not used. Joins hash the side whose keys are distinct: they are dealt
+    evenly, and the other side needs no sort."""
     got = _followers(texts, filters, cut, hot)
     left = 1 - F.col("seen") / F.col("total")
     whole = got.filter("n is null").groupBy("context").agg(F.min("suffix").alias("suffix"), F.sum("total").alias("total"), (F.sum("followers") > 1).alias("several"), F.sum("seen").alias("seen"))
     contexts = whole.select("context", "suffix", "total", "several", left.alias("left"))
     if lower:
         parent = lower[0].filter("grows").select(F.col("context").alias("suffix"), F.col("diverges").alias("shorter_diverges"))
-        contexts = contexts.join(parent, "suffix")  # exactly those whose suffix is extended
+        contexts = contexts.join(parent.hint("shuffle_hash"), "suffix")  # exactly those whose suffix is extended
     else:
         contexts = contexts.withColumn("shorter_diverges", F.lit(True))
     stored = got.filter("n is not null").select("context", "symbol", "suffix", "n", "total", left.alias("left"))
@@ -499,19 +625,20 @@ def _level(texts: DataFrame, filters: list, cut: tuple | None, hot: np.ndarray,
         stored = stored.join(F.broadcast(split), "context", "left").withColumns({"total": F.coalesce("total", "_total"), "left": F.coalesce("left", "_left")}).drop("_total", "_left")
     if lower:
         shorter = lower[1].select(_longer(F.col("context"), F.col("symbol")).alias("shorter"), F.col("p").alias("below"))
-        stored = stored.withColumn("shorter", _longer(F.col("suffix"), F.col("symbol"))).join(shorter, "shorter")
+        stored = stored.withColumn("shorter", _longer(F.col("suffix"), F.col("symbol"))).join(shorter.hint("shuffle_hash"), "shorter")
     else:
-        stored = stored.join(root, "symbol")
+        stored = stored.join(root.hint("shuffle_hash"), "symbol")
     stored = stored.withColumn("p", (F.col("n") - DISCOUNT) / F.col("total") + F.col("left") * F.col("below"))
     stored = materialize(stored.select("context", "symbol", "n", "p", "left", (F.log10("p") - F.log10("below") - F.log10("left")).alias("value")), "lm_stored")
-    frequent = KeyFilter(got.filter(F.col("n") >= MIN_CONTEXT).select(_longer(F.col("context"), F.col("symbol")).alias("key")), "key")
+    frequent = KeyFilter(got.filter(F.col("n") >= MIN_CONTEXT).select(_longer(F.col("context"), F.col("symbol"))))
     sums = stored.groupBy("context").agg(F.sum(F.col("p") * F.col("value")).alias("gain"), F.sum("p").alias("p"), F.sum(F.col("p") / F.pow(F.lit(10.0), "value")).alias("below"))
     # p = value * left * below of stored symbols, and left * below of the rest
     divergence = F.col("gain") * float(np.log(10)) + (F.col("p") + F.col("left") - F.col("below")) * F.log("left")
-    out = contexts.join(sums, "context", "left").withColumn("diverges", F.coalesce(divergence >= MIN_DIVERGENCE, F.lit(False)))
+    out = contexts.join(sums.hint("shuffle_hash"), "context", "left").withColumn("diverges", F.coalesce(divergence >= MIN_DIVERGENCE, F.lit(False)))
     out = out.withColumn("grows", F.col("several") & (F.col("diverges") | F.col("shorter_diverges")))
     out = materialize(out.drop("gain", "p", "below", "several", "shorter_diverges"), "lm_level")
     discard(got)
+    _let_go(texts.sparkSession)
     return out, stored, frequent
 
 
@@ -524,19 +651,43 @@ def _values(levels: list[tuple[DataFrame, DataFrame]]) -> tuple[DataFrame | None
         kept = contexts.filter("diverges").select("context")
         if closed is not None:
             kept = kept.unionByName(closed).distinct()
-        kept = materialize(contexts.join(kept, "context", "left_semi").select("context", "suffix", "total", "left"), "lm_states")
+        kept = materialize(contexts.join(kept.hint("shuffle_hash"), "context", "left_semi").select("context", "suffix", "total", "left"), "lm_states")
         closed = kept.select(F.col("suffix").alias("context")).distinct()
         states.insert(0, kept)
         parts.append(kept.select(F.col("context").alias("key"), F.col("total").alias("n"), F.log10("left").alias("value")))
-        parts.append(stored.join(kept.select("context"), "context", "left_semi").select(_longer(F.col("context"), F.col("symbol")).alias("key"), "n", "value"))
+        parts.append(stored.join(kept.select("context").hint("shuffle_hash"), "context", "left_semi").select(_longer(F.col("context"), F.col("symbol")).alias("key"), "n", "value"))
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
     return out, states
 
 
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(keys, n, value) of ``DEALT_BATCHES`` batches at a time."""
+    held: list[pa.RecordBatch] = []
+    for b in chain(batches, [None]):
+        held += [b] if b is not None and b.num_rows else []
+        if held and (b is None or len(held) >= DEALT_BATCHES):
+            t = pa.Table.from_batches(held).combine_chunks()
+            held = []
+            yield t.column(0).to_numpy().view(np.uint64), t.column(1).to_numpy(), t.column(2).to_numpy()
+
+
+def _packed_values(values: DataFrame, hot_from: float) -> DataFrame:
+    """The numbers (key, n, value) packed by part; those of sequences that occur ``hot_from`` times are of kind 3, all others of kind 2."""
+    parts = _parts(values.sparkSession)[1]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for keys, n, value in _gathered(batches):
+            by = _order(keys)
+            keys, value, hot = keys[by], value[by], n[by] >= hot_from
+            yield _packed(_dealt(2, keys[~hot], value[~hot], parts) + _dealt(3, keys[hot], value[hot], parts))
+
+    return values.select("key", F.col("n").cast("long").alias("n"), "value").mapInArrow(run, _PACKED)
+
+
 def train(texts: DataFrame) -> tuple[Tree, DataFrame]:
-    """The tree, and the table of what tasks do not know: (key, n, null) of words, (key, null, value) of sequences."""
+    """The tree, and the table of what tasks do not know, packed by part: counts of words (kind 1), numbers of sequences (2)."""
     unigrams = materialize(_unigrams(texts), "unigrams")
     total, vocabulary = unigrams.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     total, vocabulary = int(total), int(vocabulary)
@@ -545,54 +696,56 @@ def train(texts: DataFrame) -> tuple[Tree, DataFrame]:
     root = unigrams.filter(F.col("n") >= MIN_NEXT).select(F.col("key").alias("symbol"), ((F.col("n") + 1.0) / float(tree.z)).alias("below"))
     levels: list[tuple[DataFrame, DataFrame]] = []
     words = unigrams.filter(F.col("n") >= MIN_CONTEXT)
-    filters = [(None, KeyFilter(words, "key"))]
+    filters = [(None, KeyFilter(words.select("key")))]
     split = F.col("n") >= max(MIN_CONTEXT, P_CONTEXT * total)
     hot = words.filter(split & (F.col("key") != int(signed(END.reshape(1))[0]))).select("key")
-    cut, kept_words = None, KEPT_WORDS
+    cut, cut_size, kept_words = None, 0, KEPT_WORDS
     while not levels or filters[-1][0].size:
         depth = len(levels) + 1
         if depth >= CUT_FROM and (cut is None or depth > cut[2]):
             if cut:
                 discard(cut[0])
                 kept_words *= 4
-            cut = _cut(texts, filters, kept_words), depth, kept_words
+            cut, cut_size = (_cut(texts, filters, kept_words), depth, kept_words), filters[-1][0].size
+        elif cut and depth < kept_words and 2 * filters[-1][0].size < cut_size:  # few are left
+            old, cut = cut, (_cut(texts, filters, kept_words, cut), depth, kept_words)
+            cut_size = filters[-1][0].size
+            discard(old[0])
         spread = np.sort(hot.toArrow().column("key").to_numpy().view(np.uint64))
         contexts, stored, frequent = _level(texts, filters, cut, spread, levels[-1] if levels else None, root)
         levels.append((contexts, stored))
         hot = stored.filter(split).select(_longer(F.col("context"), F.col("symbol")).alias("key"))
-        filters.append((KeyFilter(contexts.filter("grows"), "context"), frequent))
+        filters.append((KeyFilter(contexts.filter("grows").select("context")), frequent))
     if cut:
         discard(cut[0])
     values, states = _values(levels)
-    values = materialize(values, "lm_values")
+    values = materialize(_packed_values(values, P_JOINT * total), "lm_values")
+    known, number = _by_key(*_told(values.filter("kind = 3").toArrow().column("blob").to_pylist(), np.float64))
+    tree.keys, tree.values, tree.depth = signed(known), number, len(levels)
+    tree.stored = KeyFilter(values.select("blob"), 28, lambda b: [_told([x.as_py()], np.float64)[0] for x in b.column(0)])
     hot = F.col("n") >= P_JOINT * total
-    known = values.filter(hot).groupBy("key").agg(F.sum("value").alias("value")).toPandas().sort_values("key")
-    tree.keys, tree.values, tree.depth = known["key"].to_numpy(np.int64), known["value"].to_numpy(float), len(levels)
-    tree.stored = KeyFilter(values, "key", 28)
     for level, ((_, stored), kept) in enumerate(zip(levels[:2], states, strict=False)):
         near = stored.filter(hot).join(kept.filter(F.col("total") >= P_CONTEXT * total).select("context", "suffix"), "context")
         tree.add_level(level, near.select("context", "symbol", "suffix", "p").toArrow())
     for done in [*[x for level in levels for x in level], *states]:
         discard(done)
-    rest = unigrams.filter(F.col("n") < P_JOINT * total).select("key", "n", F.lit(None).cast("double").alias("value"))
-    table = rest.unionByName(values.filter(~hot).select("key", F.lit(None).cast("long").alias("n"), "value"))
-    table._spanforge_tables = (unigrams, values)  # of use until the scores are told
-    return tree, table
-
-
-def _planes(x: np.ndarray) -> np.ndarray:
-    """The bytes of small numbers by their weight, so that the shuffle's compression finds the zeros."""
-    return np.ascontiguousarray(x.view(np.uint8).reshape(len(x), x.itemsize).T).reshape(-1)
+    parts = _parts(texts.sparkSession)[1]
 
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for keys, n, _ in _gathered(batches):
+            by = _order(keys)
+            yield _packed(_dealt(1, keys[by], n[by], parts))
 
-def _whole(planes: np.ndarray, kind: type) -> np.ndarray:
-    width = np.dtype(kind).itemsize
-    return np.ascontiguousarray(planes.reshape(width, -1).T).reshape(-1).view(kind)
+    rest = unigrams.filter(F.col("n") < P_JOINT * total).select("key", "n", F.lit(0.0).alias("value"))
+    table = rest.mapInArrow(deal, _PACKED).unionByName(values.filter("kind = 2"))
+    table._spanforge_tables = (unigrams, values)  # of use until the scores are told
+    _let_go(texts.sparkSession)
+    return tree, table
 
 
 def _questions(keys: np.ndarray, rows: np.ndarray, base: int, parts: int) -> pa.RecordBatch:
     """What tasks ask of the table: keys, in order, and the numbers of their rows from ``base`` on."""
-    by = np.argsort(keys)
+    by = _order(keys)
     keys, rows = keys[by], rows[by].astype(np.int32)
     part = _part_of(keys, parts)
     cuts = np.r_[_runs(part), len(part)]
@@ -602,66 +755,45 @@ def _questions(keys: np.ndarray, rows: np.ndarray, base: int, parts: int) -> pa.
     return _packed(out)
 
 
-def _numbers(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.RecordBatch]:
-    """The rows (key, n, value) of the table, dealt like the questions."""
-    held: list[pa.RecordBatch] = []
-    for b in chain(batches, [None]):
-        held += [b] if b is not None else []
-        if not held or (b is not None and len(held) < DEALT_BATCHES):
+def _answers(got: list[tuple[int, bytes]]) -> Iterator[tuple[int, list[np.ndarray]]]:
+    """Of one part's questions, by the row they count from: row, known words, what words add and what sequences add."""
+    words, counts = _told([blob for kind, blob in got if kind == 1], np.int64)
+    keys, values = _told([blob for kind, blob in got if kind == 2], np.float64)
+    keys, values = _by_key(keys, values)  # a sequence can be a state and a stored symbol's
+    words, keys, logs = Index(words), Index(keys), np.log10(counts + 1.0)
+    for kind, blob in got:
+        if kind:
             continue
-        t = pa.Table.from_batches(held).combine_chunks()
-        held = []
-        key, n, value = (c.to_numpy() for c in (t.column(0), t.column(1).fill_null(0), t.column(2).fill_null(np.nan)))
-        part = _part_of(key.view(np.uint64), parts)
-        by = np.argsort(part, kind="stable")
-        cuts = np.r_[_runs(part[by]), len(by)]
-        out = []
-        for a, z in zip(cuts[:-1], cuts[1:], strict=True):
-            at = by[a:z]
-            word = n[at] > 0
-            out.append((int(part[at[0]]), 1, _pack(key[at[word]], n[at[word]], key[at[~word]], value[at[~word]])))
-        if out:
-            yield _packed(out)
-
-
-def _answers(got: list[tuple[int, bytes]]) -> list[np.ndarray] | None:
-    """Row, known words, what words add and what sequences add, of one part's questions."""
-    held = [_unpack(blob, [np.int64, np.int64, np.int64, np.float64]) for kind, blob in got if kind]
-    asked = [_unpack(blob, [np.int64, np.uint8, np.uint8]) for kind, blob in got if not kind]
-    if not asked or not held:
-        return None
-    words, counts, keys, values = (np.concatenate([x[i] for x in held]) for i in range(4))
-    by, to = np.argsort(words), np.argsort(keys)
-    words, counts, keys, values = words[by], counts[by], keys[to], values[to]
-    first = _runs(keys)  # a sequence can be a state and a stored symbol's
-    keys, values = keys[first], np.add.reduceat(values, first) if len(first) else values
-    ask = signed(np.concatenate([np.cumsum(_whole(x[1], np.uint64)) for x in asked]))
-    row = np.concatenate([_whole(x[2], np.int32) + x[0][0] for x in asked])
-    at, on = _find(words, ask), _find(keys, ask)
-    hit = (at >= 0) | (on >= 0)
-    at, on, row = at[hit], on[hit], row[hit]
-    add = np.where(at >= 0, np.log10(counts + 1.0)[at], 0.0) if len(counts) else np.zeros(len(at))
-    gain = np.where(on >= 0, values[on], 0.0) if len(values) else np.zeros(len(on))
-    return _summed(row, (at >= 0).astype(np.int64), add, gain)
+        base, ask, row = _unpack(blob, [np.int64, np.uint8, np.uint8])
+        ask, row = np.cumsum(_whole(ask, np.uint64), dtype=np.uint64), _whole(row, np.int32)
+        at, on = words.find(ask), keys.find(ask)
+        hit = (at >= 0) | (on >= 0)
+        at, on, row = at[hit], on[hit], row[hit]
+        add = np.where(at >= 0, logs[at], 0.0) if len(logs) else np.zeros(len(at))
+        gain = np.where(on >= 0, values[on], 0.0) if len(values) else np.zeros(len(on))
+        yield int(base[0]), [row, (at >= 0).astype(np.int64), add, gain]
 
 
 def _summed(row: np.ndarray, *columns: np.ndarray) -> list[np.ndarray]:
-    """The columns summed by row."""
-    by = np.argsort(row, kind="stable")
-    row = row[by]
-    first = _runs(row)
-    return [row[first], *[np.add.reduceat(c[by], first) if len(first) else c for c in columns]]
+    """The columns summed by row, rows being numbers of texts that ask together."""
+    at = np.flatnonzero(np.bincount(row))
+    return [at.astype(np.int32), *[np.bincount(row, c)[at] for c in columns]]
+
+
+_SUMS = [np.int32, np.int32, np.float64, np.float64]  # rows, known words, what words and sequences add
 
 
 def score(docs: DataFrame, tree: Tree, table: DataFrame, keep: list[str]) -> DataFrame:
     """``keep`` columns and n_tokens, n_known, train_tokens, base_score, score of every row. Rows go with what their tasks know of them through
-    the one shuffle that takes the questions to the table's parts; what comes out has a row of numbers for a text and task."""
+    the one shuffle that takes the questions to the table's parts. Rows that ask together have one home; what a task answers them
+    comes home in packed arrays, a row for each home. The texts go in ``ROUNDS``, by hash."""
     rows = docs.select(*keep, F.col("text").cast("string").alias("text"))
     sent = docs.sparkSession.sparkContext.broadcast(tree)
     partitions, parts = _parts(docs.sparkSession)
-    kinds = ["row long", "n_tokens long", "known long", "base double", "own double"]
+    kinds = ["row long", "n_tokens long", "known long", "base double", "own double", "home long"]
     numbers = [x.split()[0] for x in kinds]
     kept = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in keep)
+    width = len(keep) + len(kinds)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -686,7 +818,7 @@ def score(docs: DataFrame, tree: Tree, table: DataFrame, keep: list[str]) -> Dat
             if done == first:
                 continue
             row = np.arange(first, done) + base
-            made = [*b.columns[: len(keep)], pa.array(row), *[pa.array(np.concatenate(c)) for c in zip(*out, strict=True)]]
+            made = [*b.columns[: len(keep)], pa.array(row), *[pa.array(np.concatenate(c)) for c in zip(*out, strict=True)], pa.array(np.full(len(row), base + since))]
             none = [x.type for x in made]
             yield pa.RecordBatch.from_arrays([*made, pa.array((row % parts).astype(np.int32)), pa.nulls(len(row), pa.int32()), pa.nulls(len(row), pa.binary())], names=names)
             if size > 3_000_000:
@@ -695,35 +827,63 @@ def score(docs: DataFrame, tree: Tree, table: DataFrame, keep: list[str]) -> Dat
         if size:
             yield asked()
 
-    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from _numbers(batches, parts)
-
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packed, types, names = [], None, [*keep, *numbers, "more", "add", "gain"]
-        width = len(keep) + len(numbers)
+        packed, types, names = [], None, [*keep, *numbers, "blob"]
         for b in batches:
             types = [x.type for x in b.columns[:width]]
-            questions = b.column(width + 2).is_valid()
-            packed.append(b.select(range(width, width + 3)).filter(questions))
+            packed.append(b.select(range(width, width + 3)).filter(b.column(width + 2).is_valid()))
             own = b.filter(b.column(len(keep)).is_valid())
-            yield pa.RecordBatch.from_arrays([*own.columns[:width], pa.nulls(own.num_rows, pa.int64()), pa.nulls(own.num_rows, pa.float64()), pa.nulls(own.num_rows, pa.float64())], names=names)
-        total = [x for x in map(_answers, _by_part(packed)) if x]
-        if total:
-            row, *sums = _summed(*(np.concatenate(x) for x in zip(*total, strict=True)))
-            blank = [pa.nulls(len(row), x) for x in types]
-            blank[len(keep)] = pa.array(row)
-            yield from _sliced(pa.RecordBatch.from_arrays([*blank, *map(pa.array, sums)], names=names))
-
-    asked = rows.mapInArrow(run, f"{kept}, {', '.join(kinds)}, {_PACKED}")
-    both = asked.unionByName(table.select("key", "n", "value").mapInArrow(deal, _PACKED), allowMissingColumns=True)
-    told = both.repartition(partitions, "part").mapInArrow(answer, f"{kept}, {', '.join(kinds)}, more long, add double, gain double")
-    told = materialize(told, "lm_rows")
+            yield pa.RecordBatch.from_arrays([*own.columns[:width], pa.nulls(own.num_rows, pa.binary())], names=names)
+        homes: dict[int, list] = {}
+        for got in _by_part(packed):
+            for home, sums in _answers(got):
+                homes.setdefault(home, []).append(_summed(*sums))
+        while homes:
+            home, got = homes.popitem()
+            row, known, add, gain = _summed(*(np.concatenate(x) for x in zip(*got, strict=True)))
+            blob = _pack(_planes(np.diff(row, prepend=row.dtype.type(0))), _planes(known.astype(np.int32)), _planes(add), _planes(gain))
+            blank = [pa.nulls(1, x) for x in types]
+            blank[width - 1] = pa.array([home])
+            yield pa.RecordBatch.from_arrays([*blank, pa.array([blob], pa.binary())], names=names)
+
+    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        told, own = {}, []
+        for b in batches:
+            is_own = b.column(len(keep)).is_valid()
+            own.append(b.filter(is_own).select(range(width)))
+            blobs = b.filter(pc.invert(is_own))
+            for home, blob in zip(blobs.column(width - 1).to_pylist(), blobs.column(width).to_pylist(), strict=True):
+                told.setdefault(home, []).append(blob)
+        if not own:
+            return
+        t = pa.Table.from_batches(own).combine_chunks()
+        row, n_tokens, known, base, score, home = (t.column(i).to_numpy() for i in range(len(keep), width))
+        known, base, score = known.copy(), base.copy(), score.copy()
+        by = np.argsort(row)
+        for at, blobs in told.items():
+            for x in blobs:
+                x = [_whole(c, kind) for c, kind in zip(_unpack(x, [np.uint8] * 4), _SUMS, strict=True)]
+                place = by[np.searchsorted(row, np.cumsum(x[0]) + at, sorter=by)]
+                known[place] += x[1]
+                base[place] += x[2]
+                score[place] += x[2] + x[3]
+        out = pa.Table.from_arrays([*t.columns[: len(keep)], *map(pa.array, (n_tokens, known, base, score))], names=[*keep, "n_tokens", "n_known", "base_score", "score"])
+        yield from out.to_batches(max_chunksize=10_000)
+
+    out = None
+    for i in range(ROUNDS):
+        asked = rows.filter(F.pmod(F.xxhash64("text"), F.lit(ROUNDS)) == i).mapInArrow(run, f"{kept}, {', '.join(kinds)}, {_PACKED}")
+        both = asked.unionByName(table, allowMissingColumns=True)
+        told = both.repartition(partitions, "part").mapInArrow(answer, f"{kept}, {', '.join(kinds)}, blob binary")
+        told = materialize(told, "lm_rows")
+        del asked, both
+        _let_go(docs.sparkSession)
+        told = told.repartition(partitions, "home").mapInArrow(add_up, f"{kept}, n_tokens long, n_known long, base_score double, score double")
+        out = told if out is None else out.unionByName(told)
     sent.destroy()
     for done in getattr(table, "_spanforge_tables", ()):
         discard(done)
-    sums = [F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("n_tokens", "known", "base", "own", "more", "add", "gain")]
-    out = told.groupBy("row").agg(*[F.first(F.col(f"`{c}`"), ignorenulls=True).alias(c) for c in keep], *sums)
-    return out.select(*keep, "n_tokens", (F.col("known") + F.col("more")).alias("n_known"), F.lit(tree.total).cast("long").alias("train_tokens"), (F.col("base") + F.col("add")).alias("base_score"), (F.col("own") + F.col("add") + F.col("gain")).alias("score"))
+    return out.select(*keep, "n_tokens", "n_known", F.lit(tree.total).cast("long").alias("train_tokens"), "base_score", "score")
 
 
 def language_model(docs: DataFrame) -> DataFrame:

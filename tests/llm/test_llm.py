@@ -423,6 +423,31 @@ def test_op4_cut_texts_score_alike_and_no_tables_stay(spark, tmp_path, monkeypat
     assert {x.name.rsplit("_", 1)[0] for x in tmp_path.iterdir()} == {"spanforge_lm_rows"}
 
 
+def test_op4_answers_come_home_packed(spark, tmp_path, monkeypatch):
+    """What a task answers takes a row for each home (texts that ask together), not one for each text and task."""
+    from spanforge.llm import common
+
+    monkeypatch.setattr(common, "shared_dir", lambda _: f"file://{tmp_path}")
+    monkeypatch.setattr(language_model, "P_JOINT", 0.01)
+    r = random.Random(9)
+    rows = [(i, " ".join(f"w{r.randrange(900)}" for _ in range(60))) for i in range(400)]
+    tree, held = language_model.train(spark.createDataFrame([(t,) for _, t in rows], "text string"))
+    got = language_model.score(table(spark, rows).repartition(2), tree, held, ["doc_id"])
+    assert got.count() == 400
+    told = sum(spark.read.parquet(str(x)).count() for x in tmp_path.iterdir() if x.name.startswith("spanforge_lm_rows"))
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert told <= 400 + 2 * language_model.ROUNDS * tasks
+
+
+def test_op4_index_and_order():
+    r = np.random.default_rng(0)
+    for keys in (np.zeros(0, np.uint64), np.array([7], np.uint64), r.permutation(np.unique(r.integers(0, 2**64, 3000, np.uint64))), np.uint64(5 << 60) + r.permutation(2000).astype(np.uint64)):
+        assert (keys[language_model._order(keys)] == np.sort(keys)).all()
+        asked = np.concatenate([keys, keys + np.uint64(1 << 40), np.array([0, 2**64 - 1], np.uint64)])
+        place = {k: i for i, k in enumerate(keys.tolist())}
+        assert language_model.Index(keys).find(asked).tolist() == [place.get(k, -1) for k in asked.tolist()]
+
+
 def test_op4_empty(odd, nothing):
     assert language_model.language_model(nothing).count() == 0
     got = language_model.language_model(odd).collect()
